@@ -56,6 +56,6 @@ def split_fields(text: Column, separator: Column) -> Column:
     return F.when(separator == "|", F.split(body, r"\|")).otherwise(F.split(body, ";"))
 
 
-def field_at(fields: Column, position: int) -> Column:
-    """Field by position; a short row yields ``''`` and extra fields are never asked for."""
-    return F.coalesce(F.get(fields, F.lit(position)), F.lit(""))
+def field_at(fields: str, position: int) -> str:
+    """SQL of a field by position; a short row yields ``''`` and extra fields are never asked for."""
+    return f"coalesce(get({fields}, {position}), '')"

@@ -108,9 +108,12 @@ def left_join_all(
         if not hot.isEmpty():
             left, rights = split_hot_keys(left, rights, on, hot)
             keys.append(_SLICE)
+    columns = left.columns
     for right in rights:
-        left = left.join(without_collisions(left, right.drop(VOLGORDE), keys, suffix), keys, "left")
-    return left.drop(_SLICE)
+        added = without_collisions(left, right.drop(VOLGORDE), keys, suffix)
+        columns += [c for c in added.columns if c not in keys]
+        left = left.join(added, keys, "left")
+    return left.select(*[c for c in columns if c != _SLICE])
 
 
 def keep_first_left_join(
@@ -132,7 +135,8 @@ def lookup_join(
     """Join with a table of one row per delivery: broadcast when its counted rows allow, sliced shuffle otherwise."""
     rows = right.count() if right_rows is None else right_rows
     if rows <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
-        clean = without_collisions(left, right.drop(VOLGORDE), on, suffix)
-        return left.join(F.broadcast(clean), list(on), how)
+        added = without_collisions(left, right.drop(VOLGORDE), on, suffix)
+        columns = [*left.columns, *[c for c in added.columns if c not in on]]
+        return left.join(F.broadcast(added), list(on), how).select(*columns)
     joined = left_join_all(left, [right.withColumn("_gevonden", F.lit(True))], on, suffix)
     return (joined.where("_gevonden") if how == "inner" else joined).drop("_gevonden")

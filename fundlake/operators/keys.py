@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.columns import LEVERING, PERSOON, VOLGORDE
-from fundlake.functions.typing import blank_to_null
 from fundlake.operators.joins import first_per_key, left_join_all
 
 # Person identifiers in order of preference and the keys built on them.
@@ -35,7 +34,7 @@ def fk_repair(df: DataFrame, diplomas: DataFrame | None, dedup: bool = False, **
     A diploma reference that occurs more than once in ``diplomas`` multiplies the rows, unless ``dedup`` takes the
     first one only.
     """
-    df = df.withColumn("Inschrijvingvolgnummer", blank_to_null(F.col("Inschrijvingvolgnummer")))
+    df = df.withColumn("Inschrijvingvolgnummer", F.nullif("Inschrijvingvolgnummer", F.lit("")))
     if diplomas is None or DIPLOMA_REFERENCE not in df.columns:
         return df
     on = [*PERSON_KEY, DIPLOMA_REFERENCE]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from fundlake.columns import LEVERING
 from fundlake.operators.decode import decode_frames
@@ -14,11 +14,18 @@ from fundlake.sources.multirecord import Deliveries, read_multi_record
 from fundlake.sources.tbgi import read_xml
 
 
-def read_family(spark: SparkSession, paths: str | list[str], family: str, **options) -> Deliveries:
+def read_family(
+    spark: SparkSession,
+    paths: str | list[str],
+    family: str,
+    label: Column | None = None,
+    glob: str | None = None,
+    staged: bool = False,
+) -> Deliveries:
     """Raw tables of one or many deliveries of a family."""
     if family == "tbgi":
-        return read_xml(spark, paths, **options)
-    return read_multi_record(spark, paths, family, **options)
+        return read_xml(spark, paths, label, glob)
+    return read_multi_record(spark, paths, family, label, glob, staged)
 
 
 def _accepted(spark: SparkSession, path: str, family: str) -> dict[str, DataFrame]:

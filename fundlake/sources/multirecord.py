@@ -19,9 +19,9 @@ from fundlake.functions.text import (
     separator_after,
     split_fields,
 )
-from fundlake.functions.typing import bad_number_index, date_format_code, date_sample
+from fundlake.functions.typing import bad_number_index, date_format_code, date_sample, quoted
 from fundlake.operators.joins import lookup_join
-from fundlake.schemas import load_schema
+from fundlake.schemas import RecordSpec, load_schema
 from fundlake.session import work_table
 from fundlake.sources.discovery import file_label
 from fundlake.sources.files import require_path
@@ -56,24 +56,24 @@ def read_lines(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     uri = F.col("_metadata.file_path")
-    lines = reader.text(paths).select(
+    raw = reader.text(paths).select(
         (file_label(uri) if label is None else label).alias(LEVERING),
         F.col("_metadata.file_block_start").alias("blok"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_PARTITION)).alias("regel"),
-        F.col("value"),
-        F.is_valid_utf8("value").alias("utf8"),
+        "value",
     )
-    return (
-        lines.select(
-            LEVERING, "blok", "regel", "utf8", F.posexplode(line_parts(decoded(F.col("value"), F.col("utf8"))))
-        )
-        .where(has_text(F.col("col")))
-        .select(
-            LEVERING,
-            F.struct("blok", "regel", F.col("pos").cast("bigint").alias("deel")).alias(VOLGORDE),
-            F.col("col").alias("tekst"),
-            "utf8",
-        )
+    return decode_lines(raw)
+
+
+def decode_lines(raw: DataFrame) -> DataFrame:
+    """Text of undecoded lines (levering, blok, regel, value), cut at rare line ends, blank ones dropped."""
+    utf8 = F.is_valid_utf8("value")
+    parts = raw.select(LEVERING, "blok", "regel", utf8.alias("utf8"), F.posexplode(line_parts(decoded(F.col("value"), utf8))))
+    return parts.where(has_text(F.col("col"))).select(
+        LEVERING,
+        F.struct("blok", "regel", F.col("pos").cast("bigint").alias("deel")).alias(VOLGORDE),
+        F.col("col").alias("tekst"),
+        "utf8",
     )
 
 
@@ -93,10 +93,15 @@ def parse_lines(lines: DataFrame, family: str) -> DataFrame:
         .withColumn("velden", F.when(code.isNotNull(), split_fields(text, F.col("scheiding"))))
     )
 
-    def fields(spec):
-        return {name: field_at(F.col("velden"), i) for i, name in enumerate(spec.fields)}
+    def fields(spec: RecordSpec) -> dict[str, str]:
+        return {name: field_at("velden", i) for i, name in enumerate(spec.fields)}
 
-    return split.select(
+    sampled = split.selectExpr(
+        "*",
+        f"{by_code(family, lambda spec: date_sample(spec, fields(spec)))} AS monster",
+        f"{by_code(family, lambda spec: bad_number_index(spec, fields(spec)))} AS fout",
+    )
+    return sampled.selectExpr(
         LEVERING,
         VOLGORDE,
         "code",
@@ -104,10 +109,8 @@ def parse_lines(lines: DataFrame, family: str) -> DataFrame:
         "velden",
         "utf8",
         "breed",
-        by_code(
-            family, lambda spec: date_format_code(date_sample(spec, fields(spec))), F.lit(None).cast("tinyint")
-        ).alias("klasse"),
-        by_code(family, lambda spec: bad_number_index(spec, fields(spec)), F.lit(None).cast("int")).alias("fout"),
+        f"{date_format_code('monster')} AS klasse",
+        "fout",
     )
 
 
@@ -121,14 +124,11 @@ def raw_table(parsed: DataFrame, profile: DataFrame, deliveries: int, family: st
         "inner",
         right_rows=deliveries,
     ).where((F.col("scheiding") == F.col("scheidingsteken")) | (F.col("scheiding") == ""))
-    relabel = F.col("latin1") & F.col("utf8")
-
-    def text(position: int) -> Column:
-        value = field_at(F.col("velden"), position)
-        return F.when(relabel, as_latin1(value)).otherwise(value)
-
+    text = F.when(F.col("latin1") & F.col("utf8"), F.transform("velden", as_latin1)).otherwise(F.col("velden"))
     fields = load_schema(family)[code].fields
-    return rows.select(LEVERING, *[text(i).alias(f) for i, f in enumerate(fields)], VOLGORDE, DATUMFORMAAT)
+    return rows.withColumn("velden", text).selectExpr(
+        LEVERING, *[f"{field_at('velden', i)} AS {quoted(f)}" for i, f in enumerate(fields)], VOLGORDE, DATUMFORMAAT
+    )
 
 
 def tables_of(parsed: DataFrame, family: str, profile: DataFrame | None = None) -> Deliveries:

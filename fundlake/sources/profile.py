@@ -6,13 +6,14 @@ It is reduced in steps, so a delivery of any size is first combined inside the t
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake.columns import DATUMFORMAAT, LEVERING, VOLGORDE
-from fundlake.functions.typing import bad_number_index, date_format_code, date_format_name, date_sample
+from fundlake.functions.typing import bad_number_index, date_format_code, date_format_name, date_sample, quoted
 from fundlake.schemas import RecordSpec, load_schema
 
 PLACE = "plek"
@@ -20,12 +21,10 @@ PLACE = "plek"
 STAGES = ("lezen", "decoderen", "valideren")
 
 
-def by_code(family: str, value, default: Column) -> Column:
-    """Expression per record type: ``value(spec)`` for rows whose ``code`` is that type."""
-    case = F
-    for name, spec in load_schema(family).items():
-        case = case.when(F.col("code") == name, value(spec))
-    return case.otherwise(default)
+def by_code(family: str, value: Callable[[RecordSpec], str], default: str = "NULL") -> str:
+    """SQL per record type: ``value(spec)`` for rows whose ``code`` is that type."""
+    cases = " ".join(f"WHEN '{name}' THEN {value(spec)}" for name, spec in load_schema(family).items())
+    return f"CASE code {cases} ELSE {default} END"
 
 
 def summarise_splits(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -58,44 +57,37 @@ def summarise_splits(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def reject_reason(family: str) -> Column:
+def reject_reason(family: str) -> str:
     """Why the rows of one record type reject their delivery: stage number and message, or null."""
 
-    def reason(spec: RecordSpec) -> Column:
-        names = F.array(*[F.lit(name) for name in spec.fields])
-        number = F.when(
-            F.col("fout").isNotNull(),
-            F.struct(
-                F.lit(1).alias("stap"),
-                F.concat(F.lit(f"{spec.name}: geen getal in "), F.get(names, F.col("fout"))).alias("reden"),
-            ),
+    def reason(spec: RecordSpec) -> str:
+        names = ", ".join(f"'{name}'" for name in spec.fields)
+        number = (
+            f"WHEN fout IS NOT NULL THEN struct(1 AS stap, "
+            f"concat('{spec.name}: geen getal in ', get(array({names}), fout)) AS reden)"
         )
-        if not spec.single_row:
-            return number
-        count = F.when(
-            F.col("n") != 1,
-            F.struct(
-                F.lit(2).alias("stap"),
-                F.format_string(f"{spec.name} moet exact 1 rij bevatten, gevonden: %d", F.col("n")).alias("reden"),
-            ),
+        count = (
+            f"WHEN n != 1 THEN struct(2 AS stap, "
+            f"concat('{spec.name} moet exact 1 rij bevatten, gevonden: ', n) AS reden)"
         )
-        return F.coalesce(number, count)
+        return f"CASE {number} {count if spec.single_row else ''} END"
 
-    return by_code(family, reason, F.lit(None))
+    return by_code(family, reason)
 
 
 def summarise_deliveries(per_code: DataFrame, family: str, extra: list[Column] | None = None) -> DataFrame:
     """One row per delivery out of one row per delivery and record type (``code`` null for ignored lines)."""
-    rank = by_code(family, lambda spec: F.lit(spec.rank), F.lit(None).cast("int"))
+    rank = by_code(family, lambda spec: str(spec.rank))
     known = F.col("code").isNotNull()
-    facts = per_code.withColumn("rang", rank).withColumn("bezwaar", reject_reason(family))
-    sampled = F.when(known & F.col("klasse").isNotNull(), F.col("rang"))
+    facts = per_code.selectExpr("*", f"{rank} AS rang", f"{reject_reason(family)} AS bezwaar")
     first_objection = F.min(
         F.when(F.col("bezwaar").isNotNull(), F.struct("bezwaar.stap", "rang", "bezwaar.reden"))
     )
     return facts.groupBy(LEVERING).agg(
         *(extra or []),
-        date_format_name(F.min_by("klasse", sampled)).alias(DATUMFORMAAT),
+        F.expr(date_format_name("min_by(klasse, CASE WHEN code IS NOT NULL AND klasse IS NOT NULL THEN rang END)")).alias(
+            DATUMFORMAAT
+        ),
         F.map_from_entries(
             F.array_sort(F.collect_list(F.when(known, F.struct("code", "n"))))  # one entry per record type
         ).alias("aantallen"),
@@ -133,15 +125,15 @@ def profile_frames(frames: dict[str, DataFrame], family: str) -> DataFrame:
 
     def facts(name: str, frame: DataFrame) -> DataFrame:
         spec = specs[name]
-        field = {c: F.col(c) for c in frame.columns}
-        return frame.select(
+        field = {c: quoted(c) for c in frame.columns}
+        return frame.selectExpr(
             LEVERING,
             VOLGORDE,
-            F.lit(name).alias("code"),
-            date_format_code(date_sample(spec, field)).alias("klasse"),
-            bad_number_index(spec, field).alias("fout"),
-            F.lit(None).cast("boolean").alias("breed"),
-            F.lit(True).alias("utf8"),
+            f"'{name}' AS code",
+            f"{date_format_code(date_sample(spec, field))} AS klasse",
+            f"{bad_number_index(spec, field)} AS fout",
+            "cast(NULL AS boolean) AS breed",
+            "true AS utf8",
         )
 
     tables = [facts(name, frame) for name, frame in frames.items() if name in specs]
