@@ -19,7 +19,7 @@ from fundlake.session import work_table
 BROADCAST_ROWS = 300_000
 # Rows of one key that a single task takes; a table of n rows has at most n / HOT_ROWS keys above it.
 HOT_ROWS = 5_000_000
-# Left sides estimated below this size are joined directly: no key in them can be large.
+# Left sides made from less input than this are joined directly: no key in them can be large.
 SPLIT_BYTES = 64 << 30
 
 _KEY_HASH = "_sleutel"
@@ -42,9 +42,10 @@ def first_per_key(df: DataFrame, on: Sequence[str], order: str = VOLGORDE) -> Da
     return numbered.where(F.col("_rij") == 1).drop("_rij")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size Spark's optimizer expects for a plan; file sizes at the leaves, an upper bound after joins."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files a plan reads, as Spark's own statistics give them; no job runs and nothing is optimised."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -103,7 +104,7 @@ def left_join_all(
 ) -> DataFrame:
     """Left join ``left`` with each of ``rights`` on the same key; the wide side is shuffled once for all of them."""
     keys = list(on)
-    if estimated_bytes(left) >= (SPLIT_BYTES if split_bytes is None else split_bytes):
+    if input_bytes(left) >= (SPLIT_BYTES if split_bytes is None else split_bytes):
         hot = work_table(hot_keys(left, on, hot_rows or HOT_ROWS), "hot-keys")
         if not hot.isEmpty():
             left, rights = split_hot_keys(left, rights, on, hot)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundlake.columns import BRON, LEVERING, OUDER_PREFIX, PERSOON, VOLGORDE
-from fundlake.operators.aggregates import elective_totals, exam_pivot, module_totals, placement_totals
+from fundlake.operators.aggregates import elective_totals, exam_codes, exam_pivot, module_totals, placement_totals
 from fundlake.operators.joins import (
     first_per_key,
     keep_first_left_join,
@@ -145,7 +145,7 @@ class ObtBuilder:
             diplomas = _prefixed(with_person_id(self.tables["DIP"]), "DIP_", NOT_IN_DIPLOMA)
             parts.append(first_per_key(diplomas, ENROLMENT_KEY))
         if "GEO" in self.tables:
-            parts.append(exam_pivot(self.repaired("GEO")))
+            parts.append(exam_pivot(self.repaired("GEO"), exam_codes(self.tables["GEO"])))
         if "BPV" in self.tables:
             parts.append(placement_totals(with_person_id(self.tables["BPV"])))
         if "KZD" in self.tables:

@@ -17,7 +17,7 @@ from fundlake.plans.reports import delivery_counts, enrolment_rollup, fundable_p
 from fundlake.session import work_dir, work_table
 from fundlake.sources.discovery import delivery_label, family_of
 from fundlake.sources.exports import export_counted, export_frames, visible
-from fundlake.sources.multirecord import Deliveries, decode_lines, parse_lines, tables_of
+from fundlake.sources.multirecord import Deliveries, decode_lines, parse_lines, stage_lines, tables_of
 from fundlake.sources.prepared import stack_prepared
 from fundlake.sources.profile import profile_lines
 from fundlake.sources.tbgi import deliveries_of, parse_records
@@ -29,10 +29,11 @@ from workloads import tables as T
 
 
 def _read_text(spark: SparkSession, sf: str) -> Deliveries:
+    src = T.Source(spark, sf)
     text = R.together(
-        R.headers(spark, sf), R.person_lines(spark, sf), R.enrolment_lines(spark, sf), R.period_lines(spark, sf)
+        R.headers(src), R.person_lines(src), R.enrolment_lines(src), R.period_lines(src)
     )
-    return tables_of(parse_lines(text, "ro"), "ro")
+    return tables_of(stage_lines(parse_lines(text, "ro"), "ro"), "ro")
 
 
 def multirecord_parse(spark: SparkSession, sf: str) -> DataFrame:
@@ -41,18 +42,24 @@ def multirecord_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def record_type_counts(spark: SparkSession, sf: str) -> DataFrame:
-    profile = _read_text(spark, sf).profile
+    src = T.Source(spark, sf)
+    text = R.together(
+        R.headers(src), R.person_lines(src), R.enrolment_lines(src), R.period_lines(src)
+    )
+    profile = profile_lines(parse_lines(text, "ro"), "ro")
     return profile.select("levering", F.explode("aantallen").alias("recordtype", "aantal"))
 
 
 def separator_detect(spark: SparkSession, sf: str) -> DataFrame:
-    text = R.together(R.headers(spark, sf), R.placement_lines(spark, sf))
+    src = T.Source(spark, sf)
+    text = R.together(R.headers(src), R.placement_lines(src))
     return profile_lines(parse_lines(text, "ro"), "ro").select("levering", "scheidingsteken", "_datumformaat")
 
 
 def width_normalise(spark: SparkSession, sf: str) -> DataFrame:
     """Person lines of two, five and nine fields come out five wide."""
-    people = T.orders(spark, sf)
+    src = T.Source(spark, sf)
+    people = src.orders
     full = ["'PER'", *R.PERSON, R.day("dag", "iso"), "o_orderstatus"]
     text = R.together(
         R.line(people.where("o_orderkey % 3 = 0"), 0, "o_orderkey", full[:2], "|"),
@@ -64,7 +71,8 @@ def width_normalise(spark: SparkSession, sf: str) -> DataFrame:
 
 def encoding_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """Even years hold Latin-1 bytes on some lines, which makes the whole delivery Latin-1."""
-    people = T.orders(spark, sf)
+    src = T.Source(spark, sf)
+    people = src.orders
     sex = "CASE WHEN o_orderkey % 2 = 0 THEN concat(o_orderstatus, 'é') ELSE o_orderstatus END"
     text = R.line(people, 0, "o_orderkey", ["'PER'", *R.PERSON, R.day("dag", "iso"), sex], "|")
     raw = text.selectExpr(
@@ -78,11 +86,12 @@ def encoding_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 def _dates(spark: SparkSession, sf: str, notation: str, family: str, separator: str) -> DataFrame:
     """Dates in one notation; every seventh end date is in another one and gets lost."""
+    src = T.Source(spark, sf)
     other = "iso" if notation == "compact" else "compact"
     person = ["Burgerservicenummer", "Onderwijsnummer"] if family == "ro" else ["Burgerservicenummer", "'B'"]
     end = f"CASE WHEN o_orderkey % 7 = 0 THEN {R.day('dag', other)} ELSE {R.day('date_add(dag, 9)', notation)} END"
     text = R.line(
-        T.orders(spark, sf),
+        src.orders,
         0,
         "o_orderkey",
         ["'ISG'", *person, "Inschrijvingvolgnummer", R.day("dag", notation), "'00'", end],
@@ -111,26 +120,29 @@ def date_decode_dutch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def typed_decode(spark: SparkSession, sf: str) -> DataFrame:
-    text = R.together(R.headers(spark, sf), R.placement_lines(spark, sf))
+    src = T.Source(spark, sf)
+    text = R.together(R.headers(src), R.placement_lines(src))
     return visible(decode_frames(tables_of(parse_lines(text, "ro"), "ro").tables, "ro")["BPV"])
 
 
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Every third year holds a bad number and every third two headers; the rest passes."""
+    src = T.Source(spark, sf)
     bad = "concat(CASE WHEN cast(levering AS int) % 3 = 0 AND l_linenumber = 7 THEN 'x' ELSE '' END, cast(cast(l_quantity AS bigint) AS string))"
-    headers = R.headers(spark, sf)
+    headers = R.headers(src)
     text = R.together(
-        headers, headers.where("cast(levering AS int) % 3 = 1"), R.placement_lines(spark, sf, hours=bad)
+        headers, headers.where("cast(levering AS int) % 3 = 1"), R.placement_lines(src, hours=bad)
     )
     return tables_of(parse_lines(text, "ro"), "ro").rejected
 
 
 def family_detect(spark: SparkSession, sf: str) -> DataFrame:
     """Family and label of file names made from order keys."""
+    src = T.Source(spark, sf)
     prefix = "CASE o_orderstatus WHEN 'F' THEN 'ro_' WHEN 'O' THEN 'GRONDSLAG_IP_MBO_' WHEN 'P' THEN 'Tbgi_' END"
     other = f"CASE WHEN o_orderkey % 5 = 0 THEN 'notes_' ELSE {prefix} END"
     folder = "CASE WHEN o_orderkey % 2 = 0 THEN concat('h', o_orderkey % 10, '/sub/') ELSE '' END"
-    files = T.orders(spark, sf).selectExpr(
+    files = src.orders.selectExpr(
         "o_orderkey",
         f"concat({other}, o_orderkey, '.v1.csv') AS naam",
         f"concat('file:///raw/', {folder}, {other}, o_orderkey, '.v1.csv') AS uri",
@@ -146,9 +158,10 @@ def family_detect(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _read_xml(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    src = T.Source(spark, sf)
     records = {
-        "Inschrijving": work_table(parse_records(R.enrolment_xml(spark, sf), "Inschrijving"), "xml-inschrijving"),
-        "Diploma": work_table(parse_records(R.diploma_xml(spark, sf), "Diploma"), "xml-diploma"),
+        "Inschrijving": work_table(parse_records(R.enrolment_xml(src), "Inschrijving"), "xml-inschrijving"),
+        "Diploma": work_table(parse_records(R.diploma_xml(src), "Diploma"), "xml-diploma"),
     }
     return decode_frames(deliveries_of(records["Inschrijving"], records["Diploma"]).tables, "tbgi")
 
@@ -220,8 +233,9 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 def run_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per written table, counted while writing."""
+    src = T.Source(spark, sf)
     folder = f"{work_dir(spark)}/fundlake/counts-{spark.sparkContext.applicationId}"
-    frames = {name: visible(T.ALL_TABLES[name](spark, sf)) for name in ("PER", "DIP", "AMO")}
+    frames = {name: visible(T.ALL_TABLES[name](src)) for name in ("PER", "DIP", "AMO")}
     counts = export_counted(frames, folder)
     return spark.createDataFrame(list(counts.items()), "tabel string, rijen bigint")
 
@@ -230,17 +244,20 @@ def run_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def persoon_coalesce(spark: SparkSession, sf: str) -> DataFrame:
-    return with_person_id(T.per(spark, sf)).select("levering", "_persoon_id", "Geboortedatum")
+    src = T.Source(spark, sf)
+    return with_person_id(T.per(src)).select("levering", "_persoon_id", "Geboortedatum")
 
 
 def keep_first_join(spark: SparkSession, sf: str) -> DataFrame:
-    periods = with_person_id(T.isp(spark, sf)).select("levering", "_persoon_id", "Opleidingcode", "Leerroute", VOLGORDE)
-    people = with_person_id(T.per(spark, sf)).select("levering", "_persoon_id", "Geboortedatum", "Geslacht", VOLGORDE)
+    src = T.Source(spark, sf)
+    periods = with_person_id(T.isp(src)).select("levering", "_persoon_id", "Opleidingcode", "Leerroute", VOLGORDE)
+    people = with_person_id(T.per(src)).select("levering", "_persoon_id", "Geboortedatum", "Geslacht", VOLGORDE)
     return visible(keep_first_left_join(periods, people, PERSON_KEY))
 
 
 def _repaired(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return fk_repair(with_person_id(T.ALL_TABLES[name](spark, sf)), T.dip(spark, sf))
+    src = T.Source(spark, sf)
+    return fk_repair(with_person_id(T.ALL_TABLES[name](src)), T.dip(src))
 
 
 def fk_repair_kzd(spark: SparkSession, sf: str) -> DataFrame:
@@ -251,9 +268,10 @@ def fk_repair_kzd(spark: SparkSession, sf: str) -> DataFrame:
 
 def fk_repair_fanout(spark: SparkSession, sf: str) -> DataFrame:
     """Every diploma twice, once under another enrolment: repair multiplies the rows."""
-    diplomas = T.dip(spark, sf)
+    src = T.Source(spark, sf)
+    diplomas = T.dip(src)
     again = diplomas.withColumn("Inschrijvingvolgnummer", F.concat(F.lit("X"), "Inschrijvingvolgnummer"))
-    fixed = fk_repair(with_person_id(T.amo(spark, sf)), diplomas.unionByName(again))
+    fixed = fk_repair(with_person_id(T.amo(src)), diplomas.unionByName(again))
     return visible(fixed).select("levering", "_persoon_id", "Inschrijvingvolgnummer", "CodeAMvBOnderdeel")
 
 
@@ -262,7 +280,8 @@ def geo_pivot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bpv_aggregate(spark: SparkSession, sf: str) -> DataFrame:
-    return placement_totals(with_person_id(T.bpv(spark, sf)))
+    src = T.Source(spark, sf)
+    return placement_totals(with_person_id(T.bpv(src)))
 
 
 def kzd_aggregate(spark: SparkSession, sf: str) -> DataFrame:
@@ -279,15 +298,17 @@ def amo_aggregate(spark: SparkSession, sf: str) -> DataFrame:
 
 def validate_single_row(spark: SparkSession, sf: str) -> DataFrame:
     """A header per year and order status, so every year has several; totals stay single."""
-    heads = T.orders(spark, sf).select("levering", "o_orderstatus").distinct()
-    return single_row_violations({"VLP": heads, "SLR": T.slr(spark, sf)}, "ro")
+    src = T.Source(spark, sf)
+    heads = src.orders.select("levering", "o_orderstatus").distinct()
+    return single_row_violations({"VLP": heads, "SLR": T.slr(src)}, "ro")
 
 
 # Wide and detail tables.
 
 
 def _builder(spark: SparkSession, sf: str, *names: str, options: ObtOptions | None = None) -> ObtBuilder:
-    return ObtBuilder(T.stacked(spark, sf, *names), options, present=set(names))
+    src = T.Source(spark, sf, staged=len(T.LINE_TABLES & set(names)) > 1)
+    return ObtBuilder(T.stacked(src, *names), options, present=set(names))
 
 
 def obt_base(spark: SparkSession, sf: str) -> DataFrame:
@@ -295,8 +316,7 @@ def obt_base(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def obt_full(spark: SparkSession, sf: str) -> DataFrame:
-    names = set(T.ALL_TABLES)
-    return build_obt(T.stacked(spark, sf, *T.ALL_TABLES), present=names)["obt_inschrijvingen"]
+    return _builder(spark, sf, *T.ALL_TABLES).obt_inschrijvingen()
 
 
 def detail_bpv(spark: SparkSession, sf: str) -> DataFrame:
@@ -316,7 +336,8 @@ def meta_leveringen(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tbgi_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    return build_obt(T.stacked(spark, sf, "Inschrijving"), present={"Inschrijving"})["obt_inschrijvingen"]
+    src = T.Source(spark, sf)
+    return build_obt(T.stacked(src, "Inschrijving"), present={"Inschrijving"})["obt_inschrijvingen"]
 
 
 # Reports on the wide table.

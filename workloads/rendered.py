@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from fundlake.columns import VOLGORDE
-from workloads.tables import lines, orders
+from workloads.tables import Source
 
 EVEN = "cast(levering AS int) % 2 = 0"
 NOTATIONS = {"iso": "yyyy-MM-dd", "compact": "yyyyMMdd", "dutch": "d-M-yyyy"}
@@ -43,29 +43,29 @@ ENROLMENT = [*PERSON, "Inschrijvingvolgnummer"]
 LINE_ROW = "l_orderkey * 8 + l_linenumber"
 
 
-def headers(spark: SparkSession, sf: str) -> DataFrame:
+def headers(src: Source) -> DataFrame:
     """One VLP line per year."""
-    years = orders(spark, sf).groupBy("levering").agg({"dag": "min"}).withColumnRenamed("min(dag)", "dag")
+    years = src.orders.groupBy("levering").agg({"dag": "min"}).withColumnRenamed("min(dag)", "dag")
     return line(years, 0, "0", ["'VLP'", "concat('B', levering)", day("dag"), day("dag"), day("dag")])
 
 
-def person_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return line(orders(spark, sf), 1, "o_orderkey", ["'PER'", *PERSON, day("dag"), "o_orderstatus"])
+def person_lines(src: Source) -> DataFrame:
+    return line(src.orders, 1, "o_orderkey", ["'PER'", *PERSON, day("dag"), "o_orderstatus"])
 
 
-def enrolment_lines(spark: SparkSession, sf: str) -> DataFrame:
+def enrolment_lines(src: Source) -> DataFrame:
     return line(
-        orders(spark, sf),
+        src.orders,
         2,
         "o_orderkey",
         ["'ISG'", *ENROLMENT, day("dag"), day("date_add(dag, 365)"), "''", "o_orderpriority"],
     )
 
 
-def period_lines(spark: SparkSession, sf: str) -> DataFrame:
+def period_lines(src: Source) -> DataFrame:
     """Period lines that stop after the funding indicator; the rest has to be padded."""
     return line(
-        lines(spark, sf),
+        src.lines,
         3,
         LINE_ROW,
         [
@@ -80,11 +80,11 @@ def period_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def placement_lines(spark: SparkSession, sf: str, hours: str | None = None) -> DataFrame:
+def placement_lines(src: Source, hours: str | None = None) -> DataFrame:
     """Placement lines; hours are blank for finished ones."""
     hours = hours or "CASE WHEN l_linestatus = 'O' THEN cast(cast(l_quantity AS bigint) AS string) END"
     return line(
-        lines(spark, sf),
+        src.lines,
         4,
         LINE_ROW,
         ["'BPV'", *ENROLMENT, "cast(l_linenumber AS string)", "''", day("verzonden"), "''", "''", hours],
@@ -121,7 +121,7 @@ def _count_date(number: int) -> str:
     return f"concat('<Teldatum>', {', '.join(parts)}, '</Teldatum>')"
 
 
-def enrolment_xml(spark: SparkSession, sf: str) -> DataFrame:
+def enrolment_xml(src: Source) -> DataFrame:
     """An enrolment element per line item with no, one or two count dates."""
     dates = f"CASE l_returnflag WHEN 'R' THEN '' WHEN 'A' THEN {_count_date(1)} ELSE concat({_count_date(1)}, {_count_date(2)}) END"
     parts = [
@@ -132,14 +132,14 @@ def enrolment_xml(spark: SparkSession, sf: str) -> DataFrame:
         _element("DatumInschrijving", "date_format(verzonden, 'yyyy-MM-dd')"),
         dates,
     ]
-    return lines(spark, sf).selectExpr(
+    return src.lines.selectExpr(
         "levering",
         f"struct(0L AS blok, {LINE_ROW} AS regel, 0L AS deel) AS {VOLGORDE}",
         f"concat('<Inschrijving>', {', '.join(parts)}, '</Inschrijving>') AS xml",
     )
 
 
-def diploma_xml(spark: SparkSession, sf: str) -> DataFrame:
+def diploma_xml(src: Source) -> DataFrame:
     """A diploma element per finished order with one signal."""
     parts = [
         _element("BRIN", "concat('B', levering)"),
@@ -151,7 +151,7 @@ def diploma_xml(spark: SparkSession, sf: str) -> DataFrame:
         "'</Signaal>'",
     ]
     return (
-        orders(spark, sf)
+        src.orders
         .where("o_orderstatus = 'F'")
         .selectExpr(
             "levering",

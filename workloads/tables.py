@@ -6,10 +6,13 @@ table is a projection of orders, of line items joined with their order, or a per
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.columns import VOLGORDE
+from fundlake.session import work_table
 
 # Full position of a line item: the key alone is not unique.
 LINE_POSITION = (
@@ -32,37 +35,56 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders with delivery, person and enrolment keys. Every fifth customer is known by another number."""
-    return table(spark, sf, "orders").selectExpr(
-        "*",
-        "cast(year(o_orderdate) AS string) AS levering",
-        "CASE WHEN o_custkey % 5 != 0 THEN cast(o_custkey AS string) END AS Burgerservicenummer",
-        "CASE WHEN o_custkey % 5 = 0 THEN concat('ON', o_custkey) END AS Onderwijsnummer",
-        "cast(o_orderkey AS string) AS Inschrijvingvolgnummer",
-        "cast(o_orderdate AS date) AS dag",
-        f"struct(o_orderkey AS blok) AS {VOLGORDE}",
-    )
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when the files at hand make fewer tasks than that; larger inputs stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items with the keys of their order."""
-    keys = orders(spark, sf).select(
-        F.col("o_orderkey").alias("l_orderkey"),
-        "levering",
-        "Burgerservicenummer",
-        "Onderwijsnummer",
-        "Inschrijvingvolgnummer",
-    )
-    items = table(spark, sf, "lineitem").withColumn("verzonden", F.col("l_shipdate").cast("date"))
-    return items.join(keys, "l_orderkey").withColumn(VOLGORDE, F.struct(*LINE_POSITION))
+class Source:
+    """Orders and line items of one folder.
+
+    ``staged`` writes the joined line items once, as the prepared tables of a landing zone would be; without it every
+    use reads and joins the given files.
+    """
+
+    def __init__(self, spark: SparkSession, sf: str, staged: bool = False):
+        self.spark, self.sf, self.staged = spark, sf, staged
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        """Orders with delivery, person and enrolment keys. Every fifth customer is known by another number."""
+        return spread(table(self.spark, self.sf, "orders"), "o_orderkey").selectExpr(
+            "*",
+            "cast(year(o_orderdate) AS string) AS levering",
+            "CASE WHEN o_custkey % 5 != 0 THEN cast(o_custkey AS string) END AS Burgerservicenummer",
+            "CASE WHEN o_custkey % 5 = 0 THEN concat('ON', o_custkey) END AS Onderwijsnummer",
+            "cast(o_orderkey AS string) AS Inschrijvingvolgnummer",
+            "cast(o_orderdate AS date) AS dag",
+            f"struct(o_orderkey AS blok) AS {VOLGORDE}",
+        )
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Line items with the keys of their order."""
+        keys = self.orders.select(
+            F.col("o_orderkey").alias("l_orderkey"),
+            "levering",
+            "Burgerservicenummer",
+            "Onderwijsnummer",
+            "Inschrijvingvolgnummer",
+        )
+        items = spread(table(self.spark, self.sf, "lineitem"), "l_orderkey")
+        joined = items.withColumn("verzonden", F.col("l_shipdate").cast("date")).join(keys, "l_orderkey")
+        lines = work_table(joined, "regels-per-order") if self.staged else joined
+        return lines.withColumn(VOLGORDE, F.struct(*LINE_POSITION))
 
 
 KEYS = ("levering", "Burgerservicenummer", "Onderwijsnummer")
 
 
-def isp(spark: SparkSession, sf: str) -> DataFrame:
-    return lines(spark, sf).selectExpr(
+def isp(src: Source) -> DataFrame:
+    return src.lines.selectExpr(
         *KEYS,
         "'ISP' AS Recordsoort",
         "Inschrijvingvolgnummer",
@@ -77,15 +99,15 @@ def isp(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def per(spark: SparkSession, sf: str) -> DataFrame:
+def per(src: Source) -> DataFrame:
     """A person row per order, so a person has several and the first counts."""
-    return orders(spark, sf).selectExpr(
+    return src.orders.selectExpr(
         *KEYS, "'PER' AS Recordsoort", "dag AS Geboortedatum", "o_orderstatus AS Geslacht", VOLGORDE
     )
 
 
-def isg(spark: SparkSession, sf: str) -> DataFrame:
-    return orders(spark, sf).selectExpr(
+def isg(src: Source) -> DataFrame:
+    return src.orders.selectExpr(
         *KEYS,
         "'ISG' AS Recordsoort",
         "Inschrijvingvolgnummer",
@@ -97,9 +119,9 @@ def isg(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def ise(spark: SparkSession, sf: str) -> DataFrame:
+def ise(src: Source) -> DataFrame:
     return (
-        orders(spark, sf)
+        src.orders
         .where("o_orderpriority = '1-URGENT'")
         .selectExpr(
             *KEYS,
@@ -112,9 +134,9 @@ def ise(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def dip(spark: SparkSession, sf: str) -> DataFrame:
+def dip(src: Source) -> DataFrame:
     return (
-        orders(spark, sf)
+        src.orders
         .where("o_orderstatus = 'F'")
         .selectExpr(
             *KEYS,
@@ -130,8 +152,8 @@ def dip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def bpv(spark: SparkSession, sf: str) -> DataFrame:
-    return lines(spark, sf).selectExpr(
+def bpv(src: Source) -> DataFrame:
+    return src.lines.selectExpr(
         *KEYS,
         "'BPV' AS Recordsoort",
         "Inschrijvingvolgnummer",
@@ -151,8 +173,8 @@ _RESULT_KEYS = (
 )
 
 
-def geo(spark: SparkSession, sf: str) -> DataFrame:
-    return lines(spark, sf).selectExpr(
+def geo(src: Source) -> DataFrame:
+    return src.lines.selectExpr(
         *_RESULT_KEYS,
         "'GEO' AS Recordsoort",
         "cast(3000 + l_linenumber AS string) AS CodeGeneriekExamenonderdeel",
@@ -164,9 +186,9 @@ def geo(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def kzd(spark: SparkSession, sf: str) -> DataFrame:
+def kzd(src: Source) -> DataFrame:
     outcome = " ".join(f"WHEN '{flag}' THEN '{text}'" for flag, text in RESULTS.items())
-    return lines(spark, sf).selectExpr(
+    return src.lines.selectExpr(
         *_RESULT_KEYS,
         "'KZD' AS Recordsoort",
         "concat('K', l_partkey) AS CodeKeuzedeel",
@@ -175,17 +197,17 @@ def kzd(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def amo(spark: SparkSession, sf: str) -> DataFrame:
+def amo(src: Source) -> DataFrame:
     return (
-        lines(spark, sf)
+        src.lines
         .where("l_returnflag = 'A'")
         .selectExpr(*_RESULT_KEYS, "'AMO' AS Recordsoort", "concat('C', l_suppkey) AS CodeAMvBOnderdeel", VOLGORDE)
     )
 
 
-def vlp(spark: SparkSession, sf: str) -> DataFrame:
+def vlp(src: Source) -> DataFrame:
     return (
-        orders(spark, sf)
+        src.orders
         .groupBy("levering")
         .agg(F.min("dag").alias("begin"), F.max("dag").alias("eind"))
         .selectExpr(
@@ -200,9 +222,9 @@ def vlp(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def slr(spark: SparkSession, sf: str) -> DataFrame:
+def slr(src: Source) -> DataFrame:
     return (
-        orders(spark, sf)
+        src.orders
         .groupBy("levering")
         .agg(
             F.count(F.lit(1)).alias("AantalISG"),
@@ -213,10 +235,10 @@ def slr(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def bii(spark: SparkSession, sf: str) -> DataFrame:
+def bii(src: Source) -> DataFrame:
     """Funding basis with its factors as text."""
     return (
-        orders(spark, sf)
+        src.orders
         .where("o_orderstatus = 'P'")
         .selectExpr(
             *KEYS,
@@ -230,8 +252,8 @@ def bii(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def inschrijving(spark: SparkSession, sf: str) -> DataFrame:
-    return orders(spark, sf).selectExpr(
+def inschrijving(src: Source) -> DataFrame:
+    return src.orders.selectExpr(
         *KEYS,
         "concat('B', levering) AS BRIN",
         "Inschrijvingvolgnummer",
@@ -240,10 +262,10 @@ def inschrijving(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def teldatum(spark: SparkSession, sf: str) -> DataFrame:
+def teldatum(src: Source) -> DataFrame:
     """Count dates with a numeric factor; their person sits in the parent, found by enrolment number."""
     return (
-        lines(spark, sf)
+        src.lines
         .where("l_linestatus = 'O'")
         .selectExpr(
             "levering",
@@ -256,6 +278,7 @@ def teldatum(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+LINE_TABLES = {"ISP", "GEO", "BPV", "KZD", "AMO", "Teldatum"}
 PERIOD_TABLES = {"ISP": isp, "PER": per, "ISG": isg, "VLP": vlp}
 ALL_TABLES = {
     **PERIOD_TABLES,
@@ -272,6 +295,6 @@ ALL_TABLES = {
 }
 
 
-def stacked(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+def stacked(src: Source, *names: str) -> dict[str, DataFrame]:
     """Stacked set of the named tables."""
-    return {name: ALL_TABLES[name](spark, sf) for name in names}
+    return {name: ALL_TABLES[name](src) for name in names}
