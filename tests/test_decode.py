@@ -1,0 +1,91 @@
+import datetime as dt
+
+import pytest
+
+from fundlake.columns import VOLGORDE
+from fundlake.functions.typing import strict_float, strict_integer, to_date_as
+from fundlake.operators.decode import decode_frames, decode_ro
+from fundlake.plans.normalise import read_grondslag, read_ro
+
+D = dt.date
+
+
+@pytest.mark.parametrize(
+    ("notation", "value", "expected"),
+    [
+        ("iso", "2025-08-01", D(2025, 8, 1)),
+        ("iso", "1-8-2025", None),
+        ("iso", "2025-13-01", None),
+        ("iso", "1987-00-00", None),
+        ("iso", "", None),
+        ("compact", "20250801", D(2025, 8, 1)),
+        ("compact", "19870000", None),
+        ("compact", "2025-08-01", None),
+        ("dutch", "1-8-2025", D(2025, 8, 1)),
+        ("dutch", "31-12-1999", D(1999, 12, 31)),
+        ("dutch", "01-08-2025", D(2025, 8, 1)),
+        ("dutch", "1-8-2025-x", D(2025, 8, 1)),
+        ("dutch", "123-8-2025", None),
+        ("dutch", "1-8", None),
+        ("dutch", "31-2-2025", None),
+    ],
+)
+def test_dates(spark, notation, value, expected):
+    df = spark.createDataFrame([(value, notation)], "v string, n string")
+    assert df.selectExpr(to_date_as("v", "n")).first()[0] == expected
+
+
+@pytest.mark.parametrize(("value", "expected"), [("5", 5), ("-7", -7), ("007", 7), ("", None), (None, None)])
+def test_integers(spark, value, expected):
+    assert spark.createDataFrame([(value,)], "v string").selectExpr(strict_integer("v")).first()[0] == expected
+
+
+@pytest.mark.parametrize("value", [" 5", "x", "1.5", "99999999999999999999"])
+def test_bad_integers_fail(spark, value):
+    with pytest.raises(Exception, match="geen geheel getal"):
+        spark.createDataFrame([(value,)], "v string").selectExpr(strict_integer("v")).collect()
+
+
+def test_floats(spark):
+    values = spark.createDataFrame([("1",), ("0.5",), (".5",), ("1e3",), ("",), (None,)], "v string")
+    assert [r[0] for r in values.selectExpr(strict_float("v")).collect()] == [1.0, 0.5, 0.5, 1000.0, None, None]
+    with pytest.raises(Exception, match="geen getal"):
+        spark.createDataFrame([("1,0",)], "v string").selectExpr(strict_float("v")).collect()
+
+
+def test_whole_deliveries(spark, raw):
+    typed = decode_ro(read_ro(spark, f"{raw}/h15/RO_99ZZ_20240801_20250731.csv"))
+    assert typed["VLP"].first().DatumAanmaak == D(2025, 8, 2)
+    assert dict(typed["BPV"].dtypes)["Omvang"] == "bigint"
+    assert [r.Omvang for r in typed["BPV"].orderBy(VOLGORDE).collect()] == [400, 250]
+    assert typed["PER"].where("Burgerservicenummer IS NULL").first().Onderwijsnummer == "N2"
+
+    dutch = decode_ro(read_ro(spark, f"{raw}/h15/ro_88YY_20240801_20250731.CSV"))
+    assert dutch["VLP"].first().DatumAanmaak == D(2025, 8, 9)
+    assert dutch["BPV"].first().Omvang is None
+
+    compact = decode_frames(read_grondslag(spark, f"{raw}/h17/GRONDSLAG_IP_MBO_77XX_20251119_2025.csv"), "grondslag")
+    assert compact["VLP"].first().DatumAanmaak == D(2025, 11, 19)
+    assert compact["PER"].first().DatumVestigingNederland == D(2010, 1, 31)
+    assert compact["BII"].first().BBLBOLFactor == "1,0"
+
+
+def test_sample_skips_blank_first_rows_and_other_record_types(spark):
+    """The first row of each type is sampled in layout order; later rows are not looked at."""
+    position = "struct(0L AS blok, cast(id AS bigint) AS regel, 0L AS deel)"
+    people = spark.range(2).selectExpr(
+        "'L' AS levering", "CASE id WHEN 0 THEN '' ELSE '1-1-2000' END AS Geboortedatum", f"{position} AS {VOLGORDE}"
+    )
+    periods = spark.range(1).selectExpr("'L' AS levering", "'20240801' AS DatumBegin", f"{position} AS {VOLGORDE}")
+    other = spark.range(1).selectExpr("'L' AS levering", "'x' AS y")
+    typed = decode_frames({"PER": people, "ISP": periods, "ZZZ": other}, "ro")
+    assert typed["ISP"].first().DatumBegin == D(2024, 8, 1)
+    assert [r.Geboortedatum for r in typed["PER"].collect()] == [None, None]
+    assert typed["ZZZ"] is other
+
+
+def test_no_sample_means_iso(spark):
+    row = spark.range(1).selectExpr(
+        "'L' AS levering", "'' AS Geboortedatum", f"struct(0L AS blok, id AS regel, 0L AS deel) AS {VOLGORDE}"
+    )
+    assert decode_frames({"PER": row}, "ro")["PER"].first().Geboortedatum is None
