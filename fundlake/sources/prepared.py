@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +49,8 @@ def _scan(spark: SparkSession, paths: list[str], table: str) -> DataFrame:
     """One scan where the schemas merge; otherwise one per distinct schema, widened and united."""
     try:
         return _read(spark, paths, table, merge=len(paths) > 1)
-    except AnalysisException as error:
-        if error.getCondition() not in ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE"):
+    except (PySparkException, Py4JJavaError) as error:  # the JVM's exception type has no Python class of its own
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     groups: dict[str, list[str]] = {}
     for path in paths:
