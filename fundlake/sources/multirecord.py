@@ -28,6 +28,8 @@ from fundlake.sources.files import require_path
 from fundlake.sources.profile import by_code, profile_lines
 
 _ROW_IN_PARTITION = (1 << 33) - 1
+# Profile rows hold a label and three short fields; this many are about 250 MB.
+PROFILE_BROADCAST_ROWS = 2_000_000
 
 
 @dataclass
@@ -123,6 +125,7 @@ def raw_table(parsed: DataFrame, profile: DataFrame, deliveries: int, family: st
         [LEVERING],
         "inner",
         right_rows=deliveries,
+        broadcast_rows=PROFILE_BROADCAST_ROWS,
     ).where((F.col("scheiding") == F.col("scheidingsteken")) | (F.col("scheiding") == ""))
     text = F.when(F.col("latin1") & F.col("utf8"), F.transform("velden", as_latin1)).otherwise(F.col("velden"))
     fields = load_schema(family)[code].fields
