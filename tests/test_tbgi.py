@@ -76,3 +76,29 @@ def test_unreadable_record_rejects_the_delivery(spark, delivery):
 def test_bad_factor_rejects_the_delivery(spark, delivery):
     with pytest.raises(ValueError, match="Teldatum: geen getal in BBLBOLFactor"):
         read_tbgi(spark, delivery(TBGI.replace("0.5", "half"), "TBGI_x.xml"))
+
+
+@pytest.mark.parametrize("split", ["256", "100m"])
+def test_large_files_are_read_in_splits(spark, delivery, split):
+    """With the size limit at zero every file counts as large; tiny splits cut elements in the middle."""
+    path = delivery(TBGI.replace("25500", "a > b"), "TBGI_x.xml")
+    whole = read_xml(spark, path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        cut = read_xml(spark, path, large_bytes=0)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for name, df in whole.tables.items():
+        got, wanted = ([tuple(r) for r in visible(t).collect()] for t in (cut.tables[name], df))
+        assert sorted(map(str, got)) == sorted(map(str, wanted)) and wanted
+        order = [tuple(r) for r in cut.tables[name].orderBy(VOLGORDE).drop(VOLGORDE).collect()]
+        assert order == [tuple(r) for r in df.orderBy(VOLGORDE).drop(VOLGORDE).collect()]
+
+
+def test_a_large_file_cut_short_is_rejected(spark, delivery):
+    path = delivery(TBGI[: TBGI.index("<BBLBOLFactor>0.5")], "TBGI_x.xml")
+    rejected = read_xml(spark, path, large_bytes=0).rejected.collect()
+    assert [(r.levering, r.fase) for r in rejected] == [("TBGI_x", "lezen")]
