@@ -62,7 +62,7 @@ def test_signals_of_both_origins_keep_the_first_parameter(tables):
 
 
 def test_empty_tables_are_kept(spark, delivery):
-    text = TBGI[: TBGI.index("  <Diploma>")] + "</Bekostigingsgrondslagen>"
+    text = TBGI[: TBGI.index("  <Diploma>")] + "</Bekostigingsgrondslagen>"  # no diplomas
     frames = read_tbgi(spark, delivery(text, "TBGI_x.xml"))
     assert frames["Diploma"].count() == 0 and frames["Signaal"].count() == 1
 
@@ -102,3 +102,17 @@ def test_a_large_file_cut_short_is_rejected(spark, delivery):
     path = delivery(TBGI[: TBGI.index("<BBLBOLFactor>0.5")], "TBGI_x.xml")
     rejected = read_xml(spark, path, large_bytes=0).rejected.collect()
     assert [(r.levering, r.fase) for r in rejected] == [("TBGI_x", "lezen")]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_a_document_without_its_end_is_rejected(spark, delivery, limit):
+    path = delivery(TBGI[: TBGI.index("  <Diploma>")], "TBGI_x.xml")
+    rejected = read_xml(spark, path, large_bytes=limit).rejected.collect()
+    assert [(r.levering, r.reden) for r in rejected] == [("TBGI_x", "XML-bestand is niet afgesloten")]
+
+
+def test_a_document_without_records_has_four_empty_tables(spark, delivery):
+    frames = read_tbgi(spark, delivery("<Bekostigingsgrondslagen></Bekostigingsgrondslagen>", "TBGI_x.xml"))
+    assert {name: df.count() for name, df in frames.items()} == dict(Inschrijving=0, Teldatum=0, Diploma=0, Signaal=0)
+    with pytest.raises(ValueError, match="Leeg bestand"):
+        read_tbgi(spark, delivery("", "TBGI_y.xml"))
