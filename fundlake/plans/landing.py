@@ -14,7 +14,7 @@ from fundlake.plans.normalise import read_family
 from fundlake.plans.obt import ObtOptions, build_obt
 from fundlake.plans.reports import obt_summary
 from fundlake.schemas import SCHEMAS
-from fundlake.session import work_table
+from fundlake.session import work_area, work_table
 from fundlake.sources.discovery import delivery_label, discover, family_glob
 from fundlake.sources.exports import export_counted, table_path, write_table
 from fundlake.sources.files import exists, remove
@@ -76,10 +76,11 @@ def run_landing_zone(
     spark: SparkSession, raw: str, prepared: str, output: str, options: ObtOptions | None = None
 ) -> LandingResult:
     """Normalise, stack, build and write everything under ``raw``."""
-    written, quarantine = normalise_landing(spark, raw, prepared)
-    present = {table for tables in written.values() for table, rows in tables.items() if rows}
-    obt = build_obt(stack_store(spark, prepared), options, present, store=work_table)
-    counts = export_counted(obt, output)
+    with work_area(spark):
+        written, quarantine = normalise_landing(spark, raw, prepared)
+        present = {table for tables in written.values() for table, rows in tables.items() if rows}
+        obt = build_obt(stack_store(spark, prepared), options, present, store=work_table)
+        counts = export_counted(obt, output)
     return LandingResult(written, counts, quarantine, obt_summary(spark, output, counts))
 
 
@@ -103,7 +104,8 @@ def run_obt(
     options: ObtOptions | None = None,
 ) -> dict[str, DataFrame]:
     """Stack delivery folders, build the five tables, write them and read them back."""
-    stacked = stack_prepared(spark, sources, relative_to=relative_to)
-    obt = build_obt(stacked, options, store=work_table)
-    export_counted(obt, target)
+    with work_area(spark):
+        stacked = stack_prepared(spark, sources, relative_to=relative_to)
+        obt = build_obt(stacked, options, store=work_table)
+        export_counted(obt, target)
     return {name: spark.read.parquet(table_path(target, name)) for name in obt}

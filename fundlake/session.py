@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fundlake.sources.files import remove
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -38,9 +43,24 @@ def work_dir(spark: SparkSession) -> str:
     return folder
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+@contextmanager
+def work_area(spark: SparkSession) -> Iterator[str]:
+    """Folder for the work tables of one run, removed at its end. Nothing returned from the run may still read it."""
+    folder = f"{work_dir(spark)}/fundlake/run-{uuid4().hex}"
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        remove(spark, folder)
+
+
 def work_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and read it back: later steps start from files, not from the lineage."""
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/fundlake/{name}-{uuid4().hex}"
+    path = f"{_run_folder.get() or f'{work_dir(spark)}/fundlake'}/{name}-{uuid4().hex}"
     df.write.partitionBy(*(partition_by or [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

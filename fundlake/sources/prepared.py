@@ -34,12 +34,13 @@ def _source_folder(table: str) -> Column:
 def _read(spark: SparkSession, paths: Sequence[str], table: str, merge: bool) -> DataFrame:
     """Tables of several deliveries in one scan, with the folder and a position for every row."""
     raw = spark.read.option("mergeSchema", str(merge).lower()).parquet(*paths)
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-([0-9]+)", 1)
     stored = F.struct(
-        F.lit(0).cast("bigint").alias("blok"),
+        F.coalesce(part.try_cast("bigint"), F.lit(0)).alias("blok"),
         F.col("_metadata.row_index").alias("regel"),
         F.lit(0).cast("bigint").alias("deel"),
     )
-    position = F.col(VOLGORDE) if VOLGORDE in raw.columns else stored
+    position = F.coalesce(VOLGORDE, stored) if VOLGORDE in raw.columns else stored
     return raw.select(
         *[c for c in raw.columns if c != VOLGORDE], position.alias(VOLGORDE), _source_folder(table).alias("_map")
     )

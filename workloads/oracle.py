@@ -132,6 +132,10 @@ SELECT levering, 'PER' AS "Recordsoort", {PERSON_TEXT}, {ISO.format("dag")} AS "
     "date_decode_iso": f"WITH {O} {RENDERED_DATES}",
     "date_decode_compact": f"WITH {O} {RENDERED_DATES}",
     "date_decode_dutch": f"WITH {O} {RENDERED_DATES}",
+    "dates_lost": f"""WITH {O}
+SELECT levering, 'ISG' AS recordtype, 'DatumUitschrijvingGepland' AS veld, count(*) AS verloren FROM o GROUP BY levering
+UNION ALL
+SELECT levering, 'ISG', 'DatumUitschrijvingWerkelijk', count(*) FROM o WHERE o_orderkey % 7 = 0 GROUP BY levering""",
     "typed_decode": f"""WITH {L}
 SELECT levering, 'BPV' AS "Recordsoort", {PERSON}, {VNR}, cast(l_linenumber AS varchar) AS "Volgnummer",
   cast(NULL AS date) AS "Afsluitdatum", verzonden AS "DatumBegin", cast(NULL AS date) AS "DatumEindGepland",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fundlake.columns import VOLGORDE
 from fundlake.operators.aggregates import elective_totals, exam_pivot, module_totals, placement_totals
-from fundlake.operators.decode import decode_frames
+from fundlake.operators.decode import decode_frames, lost_dates
 from fundlake.operators.joins import keep_first_left_join
 from fundlake.operators.keys import PERSON_KEY, fk_repair, with_person_id
 from fundlake.operators.union import relaxed_union
@@ -84,7 +84,7 @@ def encoding_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return visible(tables_of(parse_lines(decode_lines(raw), "ro"), "ro").tables["PER"])
 
 
-def _dates(spark: SparkSession, sf: str, notation: str, family: str, separator: str) -> DataFrame:
+def _dates(spark: SparkSession, sf: str, notation: str, family: str, separator: str) -> dict[str, DataFrame]:
     """Dates in one notation; every seventh end date is in another one and gets lost."""
     src = T.Source(spark, sf)
     other = "iso" if notation == "compact" else "compact"
@@ -97,7 +97,11 @@ def _dates(spark: SparkSession, sf: str, notation: str, family: str, separator:
         ["'ISG'", *person, "Inschrijvingvolgnummer", R.day("dag", notation), "'00'", end],
         separator,
     )
-    typed = decode_frames(tables_of(parse_lines(text, family), family).tables, family)["ISG"]
+    return tables_of(parse_lines(text, family), family).tables
+
+
+def _decoded_dates(spark: SparkSession, sf: str, notation: str, family: str, separator: str) -> DataFrame:
+    typed = decode_frames(_dates(spark, sf, notation, family, separator), family)["ISG"]
     return typed.select(
         "levering",
         "Inschrijvingvolgnummer",
@@ -108,15 +112,19 @@ def _dates(spark: SparkSession, sf: str, notation: str, family: str, separator:
 
 
 def date_decode_iso(spark: SparkSession, sf: str) -> DataFrame:
-    return _dates(spark, sf, "iso", "ro", "|")
+    return _decoded_dates(spark, sf, "iso", "ro", "|")
 
 
 def date_decode_compact(spark: SparkSession, sf: str) -> DataFrame:
-    return _dates(spark, sf, "compact", "grondslag", ";")
+    return _decoded_dates(spark, sf, "compact", "grondslag", ";")
 
 
 def date_decode_dutch(spark: SparkSession, sf: str) -> DataFrame:
-    return _dates(spark, sf, "dutch", "ro", ";")
+    return _decoded_dates(spark, sf, "dutch", "ro", ";")
+
+
+def dates_lost(spark: SparkSession, sf: str) -> DataFrame:
+    return lost_dates(_dates(spark, sf, "dutch", "ro", ";"), "ro")
 
 
 def typed_decode(spark: SparkSession, sf: str) -> DataFrame:
@@ -374,6 +382,7 @@ ALL = {
         date_decode_iso,
         date_decode_compact,
         date_decode_dutch,
+        dates_lost,
         typed_decode,
         quarantine,
         family_detect,
