@@ -101,11 +101,15 @@ def left_join_all(
     suffix: str = "_r",
     hot_rows: int | None = None,
     split_bytes: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join ``left`` with each of ``rights`` on the same key; the wide side is shuffled once for all of them."""
+    """Left join ``left`` with each of ``rights`` on the same key; the wide side is shuffled once for all of them.
+
+    ``keys_from`` has the keys of ``left`` row for row but is cheaper to count, such as the table ``left`` was made from.
+    """
     keys = list(on)
     if input_bytes(left) >= (SPLIT_BYTES if split_bytes is None else split_bytes):
-        hot = work_table(hot_keys(left, on, hot_rows or HOT_ROWS), "hot-keys")
+        hot = work_table(hot_keys(left if keys_from is None else keys_from, on, hot_rows or HOT_ROWS), "hot-keys")
         if not hot.isEmpty():
             left, rights = split_hot_keys(left, rights, on, hot)
             keys.append(_SLICE)
@@ -132,6 +136,7 @@ def lookup_join(
     right_rows: int | None = None,
     suffix: str = "_r",
     broadcast_rows: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join with a table of one row per delivery: broadcast when its counted rows allow, sliced shuffle otherwise."""
     rows = right.count() if right_rows is None else right_rows
@@ -139,5 +144,5 @@ def lookup_join(
         added = without_collisions(left, right.drop(VOLGORDE), on, suffix)
         columns = [*left.columns, *[c for c in added.columns if c not in on]]
         return left.join(F.broadcast(added), list(on), how).select(*columns)
-    joined = left_join_all(left, [right.withColumn("_gevonden", F.lit(True))], on, suffix)
+    joined = left_join_all(left, [right.withColumn("_gevonden", F.lit(True))], on, suffix, keys_from=keys_from)
     return (joined.where("_gevonden") if how == "inner" else joined).drop("_gevonden")

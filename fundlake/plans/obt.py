@@ -112,9 +112,9 @@ class ObtBuilder:
         persons = with_person_id(self.required("PER")).drop(RECORD_TYPE, *PERSON_COLUMNS)
         with_person = keep_first_left_join(base, persons, PERSON_KEY)
 
-        with_delivery, delivery_columns = self._with_delivery(with_person)
+        with_delivery, delivery_columns = self._with_delivery(with_person, base)
         parts = self._enrolment_parts()
-        wide = left_join_all(with_delivery, parts, ENROLMENT_KEY)
+        wide = left_join_all(with_delivery, parts, ENROLMENT_KEY, keys_from=base)
 
         # Published order: period, person, enrolment dates, delivery, then the other parts.
         front = with_person.columns
@@ -123,10 +123,10 @@ class ObtBuilder:
         head = [*[c for c in front if c != VOLGORDE], *dates, *delivery_columns]
         return wide.select(*head, *[c for c in wide.columns if c not in head and c != VOLGORDE])
 
-    def _with_delivery(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
+    def _with_delivery(self, df: DataFrame, base: DataFrame) -> tuple[DataFrame, list[str]]:
         """Delivery columns; BRIN comes from the delivery where the period has none."""
         deliveries = self.required("VLP").drop(RECORD_TYPE)
-        joined = lookup_join(df, first_per_key(deliveries, [LEVERING]), [LEVERING], suffix="_vlp")
+        joined = lookup_join(df, first_per_key(deliveries, [LEVERING]), [LEVERING], suffix="_vlp", keys_from=base)
         added = [c for c in joined.columns if c not in df.columns]
         if "BRIN_vlp" in added:
             joined = joined.withColumn("BRIN", F.coalesce("BRIN", "BRIN_vlp")).drop("BRIN_vlp")

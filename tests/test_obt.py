@@ -167,6 +167,21 @@ def test_exact_pass_and_single_diploma(spark, landed):
         build_obt(stacked, ObtOptions(passed="maybe"))
 
 
+def test_hot_keys_and_no_broadcast_give_the_same_tables(spark, landed, monkeypatch):
+    """Every join takes its sliced path when all limits are at their lowest."""
+    from fundlake.operators import joins
+
+    stacked = stack_store(spark, f"{landed[1]}/prepared")
+    plain = build_obt(stacked)
+    for limit, value in (("SPLIT_BYTES", 0), ("HOT_ROWS", 1), ("BROADCAST_ROWS", 0)):
+        monkeypatch.setattr(joins, limit, value)
+    sliced = build_obt(stacked)
+    assert "_deel" in sliced["obt_inschrijvingen"]._jdf.queryExecution().optimizedPlan().toString()
+    for name in TABLES:
+        assert sliced[name].columns == plain[name].columns
+        assert sliced[name].exceptAll(plain[name]).isEmpty() and plain[name].exceptAll(sliced[name]).isEmpty()
+
+
 def test_rerun_drops_tables_that_no_longer_occur(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
