@@ -105,7 +105,7 @@ def left_join_all(
 ) -> DataFrame:
     """Left join ``left`` with each of ``rights`` on the same key; the wide side is shuffled once for all of them.
 
-    ``keys_from`` has the keys of ``left`` row for row but is cheaper to count, such as the table ``left`` was made from.
+    ``keys_from`` has the keys of ``left`` row for row but is cheaper to count, such as the table it was made from.
     """
     keys = list(on)
     if input_bytes(left) >= (SPLIT_BYTES if split_bytes is None else split_bytes):

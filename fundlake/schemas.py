@@ -145,7 +145,10 @@ def parse_layout(text: str) -> dict[str, RecordSpec]:
 
 
 SCHEMAS = MappingProxyType(
-    {name: MappingProxyType(parse_layout(text)) for name, text in (("ro", RO), ("grondslag", GRONDSLAG), ("tbgi", TBGI))}
+    {
+        family: MappingProxyType(parse_layout(text))
+        for family, text in (("ro", RO), ("grondslag", GRONDSLAG), ("tbgi", TBGI))
+    }
 )
 
 

@@ -70,7 +70,8 @@ def read_lines(
 def decode_lines(raw: DataFrame) -> DataFrame:
     """Text of undecoded lines (levering, blok, regel, value), cut at rare line ends, blank ones dropped."""
     utf8 = F.is_valid_utf8("value")
-    parts = raw.select(LEVERING, "blok", "regel", utf8.alias("utf8"), F.posexplode(line_parts(decoded(F.col("value"), utf8))))
+    pieces = line_parts(decoded(F.col("value"), utf8))
+    parts = raw.select(LEVERING, "blok", "regel", utf8.alias("utf8"), F.posexplode(pieces))
     return parts.where(has_text(F.col("col"))).select(
         LEVERING,
         F.struct("blok", "regel", F.col("pos").cast("bigint").alias("deel")).alias(VOLGORDE),

@@ -80,14 +80,13 @@ def summarise_deliveries(per_code: DataFrame, family: str, extra: list[Column] |
     rank = by_code(family, lambda spec: str(spec.rank))
     known = F.col("code").isNotNull()
     facts = per_code.selectExpr("*", f"{rank} AS rang", f"{reject_reason(family)} AS bezwaar")
+    first_format = "min_by(klasse, CASE WHEN code IS NOT NULL AND klasse IS NOT NULL THEN rang END)"
     first_objection = F.min(
         F.when(F.col("bezwaar").isNotNull(), F.struct("bezwaar.stap", "rang", "bezwaar.reden"))
     )
     return facts.groupBy(LEVERING).agg(
         *(extra or []),
-        F.expr(date_format_name("min_by(klasse, CASE WHEN code IS NOT NULL AND klasse IS NOT NULL THEN rang END)")).alias(
-            DATUMFORMAAT
-        ),
+        F.expr(date_format_name(first_format)).alias(DATUMFORMAAT),
         F.map_from_entries(
             F.array_sort(F.collect_list(F.when(known, F.struct("code", "n"))))  # one entry per record type
         ).alias("aantallen"),

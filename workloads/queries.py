@@ -17,7 +17,7 @@ from fundlake.plans.reports import delivery_counts, enrolment_rollup, fundable_p
 from fundlake.session import work_dir, work_table
 from fundlake.sources.discovery import delivery_label, family_of
 from fundlake.sources.exports import export_counted, export_frames, visible
-from fundlake.sources.multirecord import Deliveries, decode_lines, parse_lines, stage_lines, tables_of
+from fundlake.sources.multirecord import decode_lines, parse_lines, stage_lines, tables_of
 from fundlake.sources.prepared import stack_prepared
 from fundlake.sources.profile import profile_lines
 from fundlake.sources.tbgi import deliveries_of, parse_records
@@ -28,25 +28,22 @@ from workloads import tables as T
 # Reading delivery text.
 
 
-def _read_text(spark: SparkSession, sf: str) -> Deliveries:
-    src = T.Source(spark, sf)
-    text = R.together(
-        R.headers(src), R.person_lines(src), R.enrolment_lines(src), R.period_lines(src)
-    )
-    return tables_of(stage_lines(parse_lines(text, "ro"), "ro"), "ro")
+def _tables(text: DataFrame, family: str) -> dict[str, DataFrame]:
+    """Raw tables of delivery lines, parsed once."""
+    return tables_of(stage_lines(parse_lines(text, family), family), family).tables
+
+
+def _full_text(src: T.Source) -> DataFrame:
+    return R.together(R.headers(src), R.person_lines(src), R.enrolment_lines(src), R.period_lines(src))
 
 
 def multirecord_parse(spark: SparkSession, sf: str) -> DataFrame:
-    tables = _read_text(spark, sf).tables
+    tables = _tables(_full_text(T.Source(spark, sf)), "ro")
     return relaxed_union([visible(tables[name]) for name in ("PER", "ISG", "ISP")])
 
 
 def record_type_counts(spark: SparkSession, sf: str) -> DataFrame:
-    src = T.Source(spark, sf)
-    text = R.together(
-        R.headers(src), R.person_lines(src), R.enrolment_lines(src), R.period_lines(src)
-    )
-    profile = profile_lines(parse_lines(text, "ro"), "ro")
+    profile = profile_lines(parse_lines(_full_text(T.Source(spark, sf)), "ro"), "ro")
     return profile.select("levering", F.explode("aantallen").alias("recordtype", "aantal"))
 
 
@@ -97,7 +94,7 @@ def _dates(spark: SparkSession, sf: str, notation: str, family: str, separator:
         ["'ISG'", *person, "Inschrijvingvolgnummer", R.day("dag", notation), "'00'", end],
         separator,
     )
-    return tables_of(parse_lines(text, family), family).tables
+    return _tables(text, family)
 
 
 def _decoded_dates(spark: SparkSession, sf: str, notation: str, family: str, separator: str) -> DataFrame:
@@ -130,13 +127,14 @@ def dates_lost(spark: SparkSession, sf: str) -> DataFrame:
 def typed_decode(spark: SparkSession, sf: str) -> DataFrame:
     src = T.Source(spark, sf)
     text = R.together(R.headers(src), R.placement_lines(src))
-    return visible(decode_frames(tables_of(parse_lines(text, "ro"), "ro").tables, "ro")["BPV"])
+    return visible(decode_frames(_tables(text, "ro"), "ro")["BPV"])
 
 
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Every third year holds a bad number and every third two headers; the rest passes."""
     src = T.Source(spark, sf)
-    bad = "concat(CASE WHEN cast(levering AS int) % 3 = 0 AND l_linenumber = 7 THEN 'x' ELSE '' END, cast(cast(l_quantity AS bigint) AS string))"
+    mark = "CASE WHEN cast(levering AS int) % 3 = 0 AND l_linenumber = 7 THEN 'x' ELSE '' END"
+    bad = f"concat({mark}, cast(cast(l_quantity AS bigint) AS string))"
     headers = R.headers(src)
     text = R.together(
         headers, headers.where("cast(levering AS int) % 3 = 1"), R.placement_lines(src, hours=bad)

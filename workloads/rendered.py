@@ -123,7 +123,8 @@ def _count_date(number: int) -> str:
 
 def enrolment_xml(src: Source) -> DataFrame:
     """An enrolment element per line item with no, one or two count dates."""
-    dates = f"CASE l_returnflag WHEN 'R' THEN '' WHEN 'A' THEN {_count_date(1)} ELSE concat({_count_date(1)}, {_count_date(2)}) END"
+    one, two = _count_date(1), _count_date(2)
+    dates = f"CASE l_returnflag WHEN 'R' THEN '' WHEN 'A' THEN {one} ELSE concat({one}, {two}) END"
     parts = [
         _element("BRIN", "concat('B', levering)"),
         _element("Burgerservicenummer", "Burgerservicenummer"),

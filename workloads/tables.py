@@ -231,7 +231,8 @@ def slr(src: Source) -> DataFrame:
             F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("AantalISE"),
             F.count_if(F.col("o_orderstatus") == "F").alias("AantalDIP"),
         )
-        .selectExpr("levering", "'SLR' AS Recordsoort", "AantalISG", "AantalISE", "AantalDIP", f"struct(0L AS blok) AS {VOLGORDE}")
+        .withColumn("Recordsoort", F.lit("SLR"))
+        .withColumn(VOLGORDE, F.expr("struct(0L AS blok)"))
     )
 
 
