@@ -1,0 +1,92 @@
+"""Token counts, ids and packing against the tokenizer library and counts made by hand."""
+
+import re
+import zlib
+from array import array
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from fundlake.llm.packing import pack, pack_documents, shortest_pack_first
+from fundlake.llm.token_counts import count_tokens, proven_whole
+from fundlake.llm.tokens import PLAIN, tokenizer
+
+WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+TEXTS = [
+    None, "", " ", "\n\n  a  b \t c", "It's THE end, isn't it? 2048 tokens_of __x__ 'S", "Ça été où ñandú ßen “quoted” – €5",
+    "<|endoftext|> inside <|startoftext|> text<|endoftext|>", "日本語 テキスト 12½ ²³ ① ٣", "é İstanbul ǅ ﬁ   x y\x0bz\x1c", "!!! *** a.b.c"
+    "\U0001f600 ok", "word " * 5000, "x" * 3000,
+]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_pieces_agree_with_the_library_for_every_plain_character(path):
+    words, library = tokenizer(path), Tokenizer.from_file(path)
+    plain = [chr(n) for n in range(0x2100) if re.fullmatch(f"[{PLAIN}]", chr(n))]
+    assert len(plain) > 600
+    for c in plain:
+        for text in (f"a{c}b {c} {c}{c}1{c}2", f"{c}'s{c} \n{c}", c):
+            assert words.pieces(text) is not None
+            assert array("I", words.encode(text)).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_counts_equal_the_library(spark):
+    library = Tokenizer.from_file(WORDS)
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)] + [(None, "a b", "x"), (3, "a", "x")], "doc_id long, text string, n_tokens string")
+    rows = map(tuple, count_tokens(docs, WORDS, limit=100).collect())
+    want = [(i, t or "") for i, t in enumerate(TEXTS)] + [(None, "a b"), (3, "a")]
+    counts = [(i, len(t.encode()), n := len(library.encode(t, add_special_tokens=False).ids), n > 100) for i, t in want]
+    assert sorted(rows, key=str) == sorted(counts, key=str)
+    assert count_tokens(docs.limit(0), WORDS).collect() == []
+
+
+def test_proven_strings_are_one_token():
+    words = tokenizer(WORDS)
+    proven = proven_whole(words)
+    assert {"the", "and"} <= proven and len(proven) > 20_000
+    assert all(len(words.library.encode(x, add_special_tokens=False).ids) == 1 for x in sorted(proven)[::50])
+
+
+@pytest.mark.parametrize(
+    "histogram", [{}, {2048: 3}, {10: 1000}, {2000: 5, 48: 5}, {n: n % 7 + 1 for n in range(1, 2049)}, {1: 1}, {1025: 10, 1: 5000}]
+)
+def test_patterns_hold_every_piece_once(histogram):
+    patterns, placed = shortest_pack_first(histogram, 2048), {}
+    for lengths, count in patterns:
+        assert 0 < sum(lengths) <= 2048 and count > 0
+        for length in lengths:
+            placed[length] = placed.get(length, 0) + count
+    assert placed == histogram
+    tokens, packs = sum(k * v for k, v in histogram.items()), sum(count for _, count in patterns)
+    assert packs <= 1.1 * max(tokens / 2048, sum(v for k, v in histogram.items() if k > 1024)) + 1
+
+
+def test_packing_places_every_id_once(spark):
+    library = Tokenizer.from_file(BYTES)
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(TEXTS * 5)] + [(None, "a", 1)], "doc_id long, text string, offset int")
+    rows = pack_documents(docs, BYTES, size=256).collect()
+    ids = {i: [*library.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(TEXTS * 5)} | {None: [*library.encode("a").ids, 1]}
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        own = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.length == len(own) and r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(array("I", own).tobytes())
+        by_doc[r.doc_id] = by_doc.get(r.doc_id, 0) + r.length
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert by_doc == {i: len(x) for i, x in ids.items()}
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 256
+    assert pack_documents(docs.limit(0), BYTES).collect() == []
+
+
+def test_a_hot_length_is_ranked_in_buckets(spark, monkeypatch):
+    monkeypatch.setattr("fundlake.llm.packing.RANKED_TOGETHER", 50)
+    pieces = spark.range(1000).selectExpr("id doc_id", "0L start", "if(id % 3 = 0, 7L, id % 50 + 1) length", "id ids_crc32", "1L doc_tokens")
+    rows = pack(pieces, size=64).collect()
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 1000
