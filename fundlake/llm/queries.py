@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fundlake.llm.language import op4_language
 from fundlake.llm.packing import op6_packing
+from fundlake.llm.quality import op10_quality
 from fundlake.llm.token_counts import op9_token_counts
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_language": op4_language,
     "op6_packing": op6_packing,
     "op9_token_counts": op9_token_counts,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {}
