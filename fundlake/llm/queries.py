@@ -10,12 +10,15 @@ from fundlake.llm.language import op4_language
 from fundlake.llm.packing import op6_packing
 from fundlake.llm.quality import op10_quality
 from fundlake.llm.token_counts import op9_token_counts
+from fundlake.llm.warc import SQL as WARC_SQL
+from fundlake.llm.warc import op2_warc
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": op2_warc,
     "op4_language": op4_language,
     "op6_packing": op6_packing,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_warc": WARC_SQL}
