@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from fundlake.llm.language import op4_language
 from fundlake.llm.packing import op6_packing
 from fundlake.llm.quality import op10_quality
+from fundlake.llm.substrings import op3_substrings
 from fundlake.llm.token_counts import op9_token_counts
 from fundlake.llm.warc import SQL as WARC_SQL
 from fundlake.llm.warc import op2_warc
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
+    "op3_substrings": op3_substrings,
     "op4_language": op4_language,
     "op6_packing": op6_packing,
     "op9_token_counts": op9_token_counts,
