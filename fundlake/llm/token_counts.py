@@ -14,19 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.llm.common import pick, read, rows_of
-from fundlake.llm.tokens import PieceTokenizer, tokenizer
-
-
-def _byte_letters() -> dict[str, int]:
-    """Letter that stands for each byte in a byte-level vocabulary: printable bytes are themselves, the others follow 255."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [byte for byte in range(256) if byte not in printable]
-    return {chr(b): b for b in printable} | {chr(256 + n): b for n, b in enumerate(others)}
+from fundlake.llm.tokens import PieceTokenizer, byte_letters, tokenizer
 
 
 def proven_whole(words: PieceTokenizer) -> frozenset[str]:
     """Vocabulary strings that, standing alone as a pre-token, are one token. Bounded by the vocabulary."""
-    letters, candidates = _byte_letters(), []
+    letters, candidates = {letter: byte for byte, letter in enumerate(byte_letters())}, []
     for token in words.vocabulary:
         if words.word_end and not token.endswith(words.word_end):
             continue
