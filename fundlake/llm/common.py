@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +22,24 @@ SETTINGS = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: they need not have it on their path."""
+    package = Path(__file__).resolve().parent.parent
+    if spark.sparkContext.applicationId in _shipped or not package.is_dir():
+        return
+    with zipfile.ZipFile(f"{tempfile.mkdtemp()}/{package.name}.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive.filename)
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """The library's settings and those of this subpackage."""
+    _ship(spark)
     configure(spark)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)

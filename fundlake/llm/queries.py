@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fundlake.llm.language import op4_language
+from fundlake.llm.ngram_join import op1_ngram_join
 from fundlake.llm.packing import op6_packing
 from fundlake.llm.quality import op10_quality
 from fundlake.llm.substrings import op3_substrings
@@ -15,6 +16,7 @@ from fundlake.llm.warc import SQL as WARC_SQL
 from fundlake.llm.warc import op2_warc
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_warc": op2_warc,
     "op3_substrings": op3_substrings,
     "op4_language": op4_language,
