@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fundlake.llm.decontaminate import op5_decontaminate
 from fundlake.llm.language import op4_language
 from fundlake.llm.ngram_join import op1_ngram_join
 from fundlake.llm.packing import op6_packing
@@ -20,6 +21,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_substrings": op3_substrings,
     "op4_language": op4_language,
+    "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
