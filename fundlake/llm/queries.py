@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fundlake.llm.decontaminate import op5_decontaminate
 from fundlake.llm.language import op4_language
+from fundlake.llm.neighbours import op7_neighbours
 from fundlake.llm.ngram_join import op1_ngram_join
 from fundlake.llm.packing import op6_packing
 from fundlake.llm.quality import op10_quality
@@ -23,6 +24,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
+    "op7_neighbours": op7_neighbours,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }
