@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fundlake.llm.decontaminate import op5_decontaminate
+from fundlake.llm.html_text import op8_html_text
 from fundlake.llm.language import op4_language
 from fundlake.llm.neighbours import op7_neighbours
 from fundlake.llm.ngram_join import op1_ngram_join
@@ -25,6 +26,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
     "op7_neighbours": op7_neighbours,
+    "op8_html_text": op8_html_text,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }

@@ -1,0 +1,72 @@
+"""Main text on hand-made pages, and the importance of nodes against entropies by hand."""
+
+import math
+
+import pytest
+
+from fundlake.llm.html_text import extract, host_of, main_text, parse, style_trees
+
+CASES = [
+    ("", ""),
+    ("plain &amp; simple\n text", "plain & simple text"),
+    ("<p>a<p>b</p>c", "a\nb\nc"),
+    ("<nav>n</nav><article><header><h1>T</h1></header><p>x <b>y</b>z<br>w</p></article><header>h</header><footer>f</footer>", "T\nx yz w"),
+    ("<article><p>one</p><div class='comments'><p>c</p></div><section id=comment-12>d</section><p class=\"pad\">two</p></article>", "one\ntwo"),
+    ("<div class='ad'>x</div><div class='ad-box'>y</div><div class='header-text'>keep</div><div role=navigation>m</div><p>t</p>", "keep\nt"),
+    ("<script>if (a<b) '</p>'</script><style>p{}</style><p>s</p><noscript>n</noscript><!-- <p>c</p> --><![CDATA[x]]>", "s"),
+    ("<form><p>f</p><input name=q><button>Go</button></form><p>k</p><textarea><p>z</textarea>", "k"),
+    ("<ul><li>1<li>2 <i>b</i></ul><table><tr><td>a<td>b<tr><th>c</table>", "1\n2 b\na\nb\nc"),
+    ("<p>cut &am", "cut &am"),
+    ("<p>cut <b class=\"x", "cut"),
+    ("<p title='a>b'>t</p><p hidden>h</p>1 < 2", "t\n1 < 2"),
+    ("<aside>s</aside><div class='cookie notice'>c</div><div><div>&#8364;5&nbsp;x</div></div>", "€5 x"),
+    ("</div></p><p>x</div>y", "xy"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), CASES)
+def test_blocks(page, text):
+    assert main_text(parse(page), {}, {}) == text
+
+
+def test_long_and_deep_pages_are_read_whole():
+    assert main_text(parse("<div>" * 5000 + "deep" + "</div>" * 5000), {}, {}) == "deep"
+    assert main_text(parse("<p>w</p>" * 20_000), {}, {}).count("\n") == 19_999
+    assert main_text(parse("<" * 5000), {}, {}) == "<" * 5000
+
+
+def site(host, pages, first):
+    fixed = "<div class='box1'><p>Visit our shop today</p></div>"
+    return [(first + n, f"https://{host}/{n}", f"<html><body>{fixed}<div class='text'><p>Story {n} of the day</p>{'<p>more %d</p>' % n * (n % 3)}</div></body></html>") for n in range(pages)]
+
+
+def test_branches_that_a_site_repeats_go(spark):
+    rows = site("a.example", 30, 0) + site("few.example", 3, 100)
+    rows += [(200, None, "<p>no host</p>"), (201, "odd", None), (None, "//A.Example:80/x", "<div class='box1'><p>Visit our shop today</p></div><p>t</p>"), (5, rows[5][1], rows[5][2])]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, text string, n_chars int")
+    got = [(r.page_id, r.text) for r in extract(df).collect()]
+    assert len(got) == len(rows)
+    texts = dict(got)
+    assert all("shop" not in texts[n] and texts[n].startswith(f"Story {n} of the day") for n in range(30))
+    assert all("shop" in texts[n] for n in (100, 101, 102))
+    assert texts[200] == "no host" and texts[201] == "" and sum(p == 5 for p, _ in got) == 2
+    assert all(r.n_chars == len(r.text) and r.url == {p: u for p, u, _ in rows}[r.page_id] for r in extract(df).collect())
+    assert extract(df.limit(0)).collect() == []
+
+
+def test_importance_is_one_less_entropy(spark):
+    pages = [("h", f"<div><p>{'same' if n < 12 else n}</p>{'<h2>x</h2>' if n % 4 == 0 else ''}</div>") for n in range(16)]
+    (row,) = style_trees(spark.createDataFrame(pages, "host string, html string"), most=1.1).collect()
+    nodes = {n["path"]: n for n in row["nodes"]}
+    div = parse(pages[0][1]).children()[0]
+    of = lambda node: nodes[node.path - (1 << 63)]
+    split = -sum(p * math.log(p, 16) for p in (0.25, 0.75))
+    assert math.isclose(of(div)["layout"], split)
+    assert math.isclose(of(div.children()[0])["content"], 1 - math.log(12, 16) / 5)
+    assert of(div)["content"] is None
+
+
+def test_hosts(spark):
+    urls = ["http://A.b/c", "https://u:p@x.example:80?q", "//y.z", "mailto:a@b", "", None]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert [r[0] for r in df.select(host_of()).collect()] == ["a.b", "x.example", "y.z", "", "", ""]
