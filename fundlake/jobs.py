@@ -42,7 +42,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
     """Run one job and return its summary line."""
     if args.job == "normalise":
         frames = run_auto_pipeline(spark, args.source, args.target, args.fmt)
-        return f"Verwerkt: {len(frames)} tabellen naar {args.target}"
+        rows = sum(df.count() for df in frames.values())
+        return f"Verwerkt: {len(frames)} tabellen, {rows} rijen naar {args.target}"
     if args.job == "stack":
         counts = run_stack(spark, args.sources, args.output, args.fmt, args.label_col, args.relative_to)
     elif args.job == "obt":

@@ -78,7 +78,3 @@ def exam_pivot(exams: DataFrame, codes: list[str] | None = None) -> DataFrame:
         .pivot("_code", [f"GEO_{code}" for code in codes])
         .agg(*[F.max(mark).alias(mark) for mark in EXAM_MARKS], F.min_by(source, VOLGORDE).alias(short))
     )
-
-
-def pivot_columns(codes: list[str]) -> list[str]:
-    return [f"GEO_{code}_{measure}" for code in codes for measure in (*EXAM_MARKS, EXAM_EXEMPTION[1])]

@@ -1,7 +1,8 @@
 """Left joins against tables with at most a few rows per key, safe for small, large and hot keys.
 
-A side is broadcast only after its rows were counted. Beyond that the join shuffles. When the left side is big, keys
-that hold more than ``HOT_ROWS`` rows are split over several tasks and the matching right rows are copied to each.
+A side is broadcast only after its rows and bytes were counted. Beyond that the join shuffles. Keys of the left side are
+counted, once for each table and key; those with more than ``HOT_ROWS`` rows are split over several tasks and the
+matching right rows are copied to each.
 """
 
 from __future__ import annotations
@@ -13,14 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake.columns import VOLGORDE
-from fundlake.session import work_table
 
-# A counted side of at most this many narrow rows is broadcast (about 60 MB).
+# A counted side of at most this many rows and characters is broadcast.
 BROADCAST_ROWS = 300_000
+BROADCAST_CHARS = 100 << 20
 # Rows of one key that a single task takes; a table of n rows has at most n / HOT_ROWS keys above it.
 HOT_ROWS = 5_000_000
-# Left sides made from less input than this are joined directly: no key in them can be large.
-SPLIT_BYTES = 64 << 30
 
 _KEY_HASH = "_sleutel"
 _SLICES = "_delen"
@@ -42,10 +41,11 @@ def first_per_key(df: DataFrame, on: Sequence[str], order: str = VOLGORDE) -> Da
     return numbered.where(F.col("_rij") == 1).drop("_rij")
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files a plan reads, as Spark's own statistics give them; no job runs and nothing is optimised."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+def counted_side(df: DataFrame) -> tuple[int, int]:
+    """Rows of a table and the characters in its columns."""
+    sizes = [F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) for c in df.columns if c != VOLGORDE]
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(reduce(lambda x, y: x + y, sizes, F.lit(0))).alias("m")).first()
+    return row.n, row.m or 0
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -59,6 +59,22 @@ def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> Data
     )
 
 
+_counted: dict[tuple, tuple[DataFrame, DataFrame | None]] = {}
+
+
+def counted_hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """``hot_keys`` of a table, or None without any. A table is counted once per key; its counts combine in the tasks
+    that read it, so only one row per key and task is shuffled."""
+    known = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(on), hot_rows)
+    if known not in _counted or not _counted[known][0].sameSemantics(df):
+        found = hot_keys(df, on, hot_rows).collect()  # rows / hot_rows of them at most
+        hot = df.sparkSession.createDataFrame(found, f"{_KEY_HASH} long, {_SLICES} int") if found else None
+        if len(_counted) >= 100:
+            _counted.clear()
+        _counted[known] = df, hot
+    return _counted[known][1]
+
+
 def split_hot_keys(
     left: DataFrame, rights: Sequence[DataFrame], on: Sequence[str], hot: DataFrame, order: str = VOLGORDE
 ) -> tuple[DataFrame, list[DataFrame]]:
@@ -100,7 +116,6 @@ def left_join_all(
     on: Sequence[str],
     suffix: str = "_r",
     hot_rows: int | None = None,
-    split_bytes: int | None = None,
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``left`` with each of ``rights`` on the same key; the wide side is shuffled once for all of them.
@@ -108,11 +123,10 @@ def left_join_all(
     ``keys_from`` has the keys of ``left`` row for row but is cheaper to count, such as the table it was made from.
     """
     keys = list(on)
-    if input_bytes(left) >= (SPLIT_BYTES if split_bytes is None else split_bytes):
-        hot = work_table(hot_keys(left if keys_from is None else keys_from, on, hot_rows or HOT_ROWS), "hot-keys")
-        if not hot.isEmpty():
-            left, rights = split_hot_keys(left, rights, on, hot)
-            keys.append(_SLICE)
+    hot = counted_hot_keys(left if keys_from is None else keys_from, on, hot_rows or HOT_ROWS)
+    if hot is not None:
+        left, rights = split_hot_keys(left, rights, on, hot)
+        keys.append(_SLICE)
     columns = left.columns
     for right in rights:
         added = without_collisions(left, right.drop(VOLGORDE), keys, suffix)
@@ -138,9 +152,10 @@ def lookup_join(
     broadcast_rows: int | None = None,
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Join with a table of one row per delivery: broadcast when its counted rows allow, sliced shuffle otherwise."""
-    rows = right.count() if right_rows is None else right_rows
-    if rows <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
+    """Join with a table of one row per delivery: broadcast when its counted rows and characters allow, sliced shuffle
+    otherwise. ``right_rows`` says how many it has, if that is known and its columns are short."""
+    rows, chars = (right_rows, 0) if right_rows is not None else counted_side(right)
+    if rows <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows) and chars <= BROADCAST_CHARS:
         added = without_collisions(left, right.drop(VOLGORDE), on, suffix)
         columns = [*left.columns, *[c for c in added.columns if c not in on]]
         return left.join(F.broadcast(added), list(on), how).select(*columns)

@@ -15,7 +15,7 @@ from fundlake.plans.obt import ObtOptions, build_obt
 from fundlake.plans.reports import obt_summary
 from fundlake.schemas import SCHEMAS
 from fundlake.session import work_area, work_table
-from fundlake.sources.discovery import delivery_label, discover, family_glob
+from fundlake.sources.discovery import delivery_label, discover, family_glob, shared_labels
 from fundlake.sources.exports import export_counted, table_path, write_table
 from fundlake.sources.files import exists, remove
 from fundlake.sources.prepared import stack_prepared, stack_store, table_names
@@ -35,13 +35,13 @@ class LandingResult:
 
 
 def normalise_family(
-    spark: SparkSession, raw: str, prepared: str, family: str, files: DataFrame
+    spark: SparkSession, raw: str, prepared: str, family: str, files: DataFrame, shared: Sequence[str] = ()
 ) -> tuple[dict[str, int], DataFrame]:
     """Type all deliveries of a family into one store; return rows per table and the rejected deliveries.
 
     A delivery is accepted or rejected as a whole. Tables of an earlier run that no longer occur are removed.
     """
-    label = delivery_label(F.col("_metadata.file_path"), raw)
+    label = delivery_label(F.col("_metadata.file_path"), raw, shared)
     found = read_family(spark, raw, family, label=label, glob=family_glob(family), staged=True)
     folder = f"{str(prepared).rstrip('/')}/{family}"
     written = export_counted(decode_frames(found.tables, family), folder)
@@ -57,18 +57,27 @@ def normalise_family(
 def normalise_landing(
     spark: SparkSession, raw: str, prepared: str
 ) -> tuple[dict[str, dict[str, int]], DataFrame]:
-    """Type every delivery under ``raw``; failing ones end in the quarantine table and do not stop the rest."""
+    """Type every delivery under ``raw``; failing ones end in the quarantine table and do not stop the rest.
+
+    Without any delivery this raises and leaves the stores as they are. The store of a family that no longer has a
+    delivery goes after all others were written.
+    """
     files = work_table(discover(spark, raw), "bestanden")
     families = {row.bestandstype for row in files.select("bestandstype").distinct().collect()}
+    if not families:
+        raise FileNotFoundError(f"Geen leveringen gevonden onder {raw}")
+    if shared := shared_labels(files):
+        files = work_table(discover(spark, raw, shared), "bestanden")
     written, rejected = {}, spark.createDataFrame([], "levering string, bestandstype string, fase string, reden string")
     for family in SCHEMAS:
         if family in families:
             mine = files.where(F.col("bestandstype") == family)
-            written[family], bad = normalise_family(spark, raw, prepared, family, mine)
+            written[family], bad = normalise_family(spark, raw, prepared, family, mine, shared)
             rejected = rejected.unionAll(bad)
-        elif exists(spark, f"{str(prepared).rstrip('/')}/{family}"):
-            remove(spark, f"{str(prepared).rstrip('/')}/{family}")
     write_table(rejected, table_path(prepared, QUARANTINE))
+    for family in set(SCHEMAS) - families:
+        if exists(spark, f"{str(prepared).rstrip('/')}/{family}"):
+            remove(spark, f"{str(prepared).rstrip('/')}/{family}")
     return written, spark.read.parquet(table_path(prepared, QUARANTINE))
 
 

@@ -8,8 +8,9 @@ from fundlake.columns import LEVERING
 from fundlake.operators.decode import decode_frames
 from fundlake.operators.validate import validate_multi_record
 from fundlake.schemas import PREFIXES
+from fundlake.session import work_area
 from fundlake.sources.discovery import detect_bestandstype
-from fundlake.sources.exports import check_format, export_counted
+from fundlake.sources.exports import check_format, export_counted, table_path, visible
 from fundlake.sources.multirecord import Deliveries, read_multi_record
 from fundlake.sources.tbgi import read_xml
 
@@ -52,11 +53,19 @@ def read_tbgi(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def _run(spark: SparkSession, source: str, target: str, fmt: str, family: str) -> dict[str, DataFrame]:
+    """Type one delivery and return its tables as they were written; the tables made on the way are removed."""
     check_format(fmt)
-    frames = validate_multi_record(decode_frames(_accepted(spark, str(source), family), family), family)
-    own = {name: df.drop(LEVERING) for name, df in frames.items()}
-    export_counted(own, target, fmt)
-    return own
+    with work_area(spark):
+        frames = validate_multi_record(decode_frames(_accepted(spark, str(source), family), family), family)
+        own = {name: df.drop(LEVERING) for name, df in frames.items()}
+        export_counted(own, target, fmt)
+        return {name: _written(spark, df, table_path(target, name, fmt), fmt) for name, df in own.items()}
+
+
+def _written(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> DataFrame:
+    if fmt == "parquet":
+        return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(visible(df).schema).options(header=True, escape='"', emptyValue="").csv(path)
 
 
 def run_pipeline(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> dict[str, DataFrame]:

@@ -88,7 +88,7 @@ class ObtBuilder:
 
     def required(self, name: str) -> DataFrame:
         if name not in self.known:
-            raise ValueError(f"Gestapelde data bevat geen {name}-records; OBT kan niet worden gebouwd.")
+            raise ValueError(f"De brede tabel heeft {name} nodig, en die tabel heeft geen rijen")
         return self.stacked[name]
 
     def repaired(self, name: str) -> DataFrame:
@@ -184,6 +184,10 @@ class ObtBuilder:
         parents = {c: c.removeprefix(OUDER_PREFIX) for c in dates.columns if c.startswith(OUDER_PREFIX)}
         if parents and not self.options.person_by_key:
             return dates.withColumnsRenamed(parents)
+        if not self.options.person_by_key:
+            raise ValueError(
+                "Teldatum mist de kolommen van het ouderelement; lees de levering opnieuw in of kies person_by_key"
+            )
         dates = dates.drop(*parents)
         if "Inschrijving" not in self.tables:
             return dates
@@ -228,6 +232,6 @@ def build_obt(
     builder = ObtBuilder(stacked, options, present, store)
     if not {"ISP", "Inschrijving"} & set(builder.tables):
         raise ValueError(
-            "Gestapelde data bevat geen ISP- of Inschrijving-records; OBT kan niet worden gebouwd."
+            "Zonder rijen in ISP of Inschrijving is er niets om de brede tabel op te bouwen"
         )
     return {name: getattr(builder, name)() for name in TABLES}

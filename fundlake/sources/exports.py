@@ -17,7 +17,7 @@ def visible(df: DataFrame) -> DataFrame:
 
 def check_format(fmt: str) -> None:
     if fmt not in FORMATS:
-        raise ValueError(f"Onbekend formaat {fmt!r}. Kies 'parquet' of 'csv'.")
+        raise ValueError(f"Onbekend formaat {fmt!r}; mogelijk: {', '.join(FORMATS)}")
 
 
 def table_path(folder: str, table: str, fmt: str = "parquet") -> str:

@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def absolute(spark: SparkSession, path: str) -> str:
+    """Path without scheme and host, made absolute by the file system it is on."""
+    hadoop_path, fs = _path(spark, path)
+    return fs.makeQualified(hadoop_path).toUri().getPath()
+
+
 def require_path(spark: SparkSession, path: str, what: str = "Bronbestand") -> None:
     """Raise ``FileNotFoundError`` for a path that is not there."""
     if not exists(spark, path):
@@ -30,3 +36,8 @@ def children(spark: SparkSession, folder: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _path(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    hadoop_path, fs = _path(spark, path)
+    fs.rename(hadoop_path, _path(spark, target)[0])

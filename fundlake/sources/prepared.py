@@ -75,7 +75,7 @@ def stack_prepared(
     if not folders:
         return {}
     if labels is not None and len(labels) != len(folders):
-        raise ValueError(f"labels heeft {len(labels)} elementen, sources heeft {len(folders)}")
+        raise ValueError(f"{len(folders)} bronmappen vragen evenveel labels, niet {len(labels)}")
     for folder in folders:
         require_path(spark, folder, "Bronmap")
 

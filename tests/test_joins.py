@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundlake.columns import VOLGORDE
+from fundlake.operators import joins
 from fundlake.operators.joins import (
     first_per_key,
     hot_keys,
@@ -17,7 +18,7 @@ from fundlake.operators.joins import (
 
 ON = ["levering", "k"]
 POSITION = f"struct(0L AS blok, cast(id AS bigint) AS regel, 0L AS deel) AS {VOLGORDE}"
-SPLIT = {"split_bytes": 0, "hot_rows": 20}
+SPLIT = {"hot_rows": 20}
 
 
 def skewed(seed=1, rows=600):
@@ -112,3 +113,32 @@ def test_lookup_join_past_the_broadcast_limit(spark, left, how):
     assert small.columns == large.columns
     assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_are_counted_once_and_bound_the_rows_per_task(spark, monkeypatch):
+    """Nine tenths of the rows on one key; nothing but the rows of a key that a task may have is set."""
+    monkeypatch.setattr(joins, "HOT_ROWS", 500)
+    counted = []
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: counted.append(a) or hot_keys(*a))
+    left = spark.range(10_000).selectExpr("'L' levering", "IF(id % 10 = 0, cast(id AS string), 'hot') k", "id v", f"struct(id AS blok) {VOLGORDE}")
+    right = spark.createDataFrame([("L", "hot", 1), ("L", "20", 2)], "levering string, k string, n int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        joined = left_join_all(left, [right], ON)
+        again = left_join_all(left, [right], ON)
+        per_task = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert max(r["count"] for r in per_task) < 3000 and len(counted) == 1
+        assert joined.where("n = 1").count() == 9000 and joined.where("n = 2").count() == 1 and again.count() == 10_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_wide_sides_are_not_broadcast(spark, left, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_CHARS", 10)
+    lookup = spark.createDataFrame([("L", "hot", "x" * 50)], "levering string, k string, n string")
+    assert "BroadcastHashJoin" not in lookup_join(left, lookup, ON)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in lookup_join(left, lookup, ON)._jdf.queryExecution().optimizedPlan().toString()

@@ -173,7 +173,7 @@ def test_hot_keys_and_no_broadcast_give_the_same_tables(spark, landed, monkeypat
 
     stacked = stack_store(spark, f"{landed[1]}/prepared")
     plain = build_obt(stacked)
-    for limit, value in (("SPLIT_BYTES", 0), ("HOT_ROWS", 1), ("BROADCAST_ROWS", 0)):
+    for limit, value in (("HOT_ROWS", 1), ("BROADCAST_ROWS", 0)):
         monkeypatch.setattr(joins, limit, value)
     sliced = build_obt(stacked)
     assert "_deel" in sliced["obt_inschrijvingen"]._jdf.queryExecution().optimizedPlan().toString()
@@ -217,7 +217,9 @@ def test_xml_only_uses_its_enrolments(spark):
         [("L1", "66WW", "001", "A")],
         "levering string, BRIN string, Inschrijvingvolgnummer string, Bekostigingsstatus string",
     )
-    built = build_obt({"Inschrijving": people, "Teldatum": dates})
+    with pytest.raises(ValueError, match="ouderelement"):
+        build_obt({"Inschrijving": people, "Teldatum": dates})
+    built = build_obt({"Inschrijving": people, "Teldatum": dates}, ObtOptions(person_by_key=True))
     assert built["obt_inschrijvingen"].first()._persoon_id == "B1"
     assert [(r._bron, r._persoon_id) for r in built["detail_bekostiging"].collect()] == [("TBGI", "B1")]
     for name in ("detail_bpv", "detail_kzd_amo", "meta_leveringen"):

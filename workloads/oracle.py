@@ -51,9 +51,13 @@ ISG_COLUMNS = """o.dag AS "DatumInschrijving", cast(o.dag + 365 AS date) AS "Dat
   CASE WHEN o.o_orderstatus = 'F' THEN cast(o.dag + 90 AS date) END AS "DatumUitschrijvingWerkelijk",
   o.o_orderpriority AS "RedenUitschrijving" """
 
-OUTCOME = "CASE l_returnflag WHEN 'A' THEN 'Behaald' WHEN 'N' THEN 'Niet behaald' WHEN 'R' THEN 'BEHAALD' END"
+OUTCOME = """CASE l_linenumber WHEN 4 THEN NULL WHEN 5 THEN 'Vrijgesteld' ELSE
+  CASE l_returnflag WHEN 'A' THEN 'Behaald' WHEN 'N' THEN 'Niet behaald' WHEN 'R' THEN 'BEHAALD' END END"""
+WITH_WORD = "l_linenumber NOT IN (4, 5)"
+# Every seventh order has no hours at all.
+HOURS = "CASE WHEN l_orderkey % 7 != 0 THEN l_quantity END"
 
-BPV_TOTALS = """count(*) AS "BPV_Aantal", cast(sum(l_quantity) AS double) AS "BPV_TotaalOmvang",
+BPV_TOTALS = f"""count(*) AS "BPV_Aantal", cast(coalesce(sum({HOURS}), 0) AS double) AS "BPV_TotaalOmvang",
   min(verzonden) AS "BPV_DatumBeginEerste",
   max(CASE WHEN l_linestatus = 'F' THEN cast(verzonden + 10 AS date) END) AS "BPV_DatumEindLaatste" """
 
@@ -169,12 +173,12 @@ SELECT levering, 'Inschrijving' AS "Bron", 'B' || levering AS "BRIN", {VNR},
   'p1' AS "Parameternaam", cast(NULL AS varchar) AS "Parameterwaarde" FROM t
 UNION ALL
 SELECT levering, 'Diploma', 'B' || levering, NULL, NULL, 'R' || o_orderkey, 9, o_orderpriority, NULL, NULL, NULL, NULL
-FROM o WHERE o_orderstatus = 'F'""",
+FROM o""",
     "xml_inschrijving_diploma": f"""WITH {L}
 SELECT levering, {PERSON}, {VNR}, verzonden AS "DatumInschrijving",
   cast(NULL AS varchar) AS "Resultaatvolgnummer", cast(NULL AS date) AS "DatumBehaald" FROM l
 UNION ALL
-SELECT levering, bsn, NULL, NULL, NULL, 'R' || o_orderkey, dag FROM o WHERE o_orderstatus = 'F'""",
+SELECT levering, bsn, NULL, NULL, NULL, 'R' || o_orderkey, dag FROM o""",
     "union_drift": """SELECT l_orderkey AS sleutel, cast(l_linenumber AS double) AS getal, l_quantity AS maat,
   l_returnflag AS kenmerk, cast(NULL AS varchar) AS status FROM lineitem
 UNION ALL
@@ -185,7 +189,7 @@ SELECT o_orderkey, o_totalprice, NULL, cast(o_custkey AS varchar), o_orderstatus
   nullif(p_type, 'ECONOMY') AS soort, p_size FROM part""",
     "run_counts": """SELECT 'PER' AS tabel, count(*) AS rijen FROM orders
 UNION ALL SELECT 'DIP', count(*) FROM orders WHERE o_orderstatus = 'F'
-UNION ALL SELECT 'AMO', count(*) FROM lineitem WHERE l_returnflag = 'A'""",
+UNION ALL SELECT 'AMO', count(*) FROM lineitem""",
     "persoon_coalesce": f"""WITH {O} SELECT levering, {PID}, dag AS "Geboortedatum" FROM o""",
     "keep_first_join": f"""WITH {L}, {P}
 SELECT levering, {PID}, cast(l_partkey AS varchar) AS "Opleidingcode", cast(l_linenumber AS varchar) AS "Leerroute",
@@ -193,23 +197,23 @@ SELECT levering, {PID}, cast(l_partkey AS varchar) AS "Opleidingcode", cast(l_li
     "fk_repair_kzd": f"""WITH {L}
 SELECT {REPAIRED_KEY}, 'R' || l_orderkey AS "ResultaatvolgnummerDiploma", 'K' || l_partkey AS "CodeKeuzedeel" FROM l""",
     "fk_repair_fanout": f"""WITH {L}
-SELECT {REPAIRED_KEY}, 'C' || l_suppkey AS "CodeAMvBOnderdeel" FROM l WHERE l_returnflag = 'A'
+SELECT {REPAIRED_KEY}, 'C' || l_suppkey AS "CodeAMvBOnderdeel" FROM l
 UNION ALL
 SELECT levering, pid, CASE WHEN l_linestatus = 'F' THEN 'X' || vnr ELSE vnr END, 'C' || l_suppkey
-FROM l WHERE l_returnflag = 'A' AND o_orderstatus = 'F'""",
+FROM l WHERE o_orderstatus = 'F'""",
     "geo_pivot": f"""WITH {L}, {EXAMS}
 SELECT {KEY}, * EXCLUDE (levering, pid, vnr) FROM g""",
     "bpv_aggregate": f"""WITH {L} SELECT {KEY}, {BPV_TOTALS} FROM l GROUP BY levering, pid, vnr""",
     "kzd_aggregate": f"""WITH {L}
-SELECT {REPAIRED_KEY}, count(*) AS "KZD_Aantal", count(*) AS "KZD_AantalBehaald"
+SELECT {REPAIRED_KEY}, count(*) AS "KZD_Aantal", count(*) FILTER (WHERE {WITH_WORD}) AS "KZD_AantalBehaald"
 FROM l WHERE hersteld IS NOT NULL GROUP BY levering, pid, hersteld""",
     "kzd_exact": f"""WITH {L}
 SELECT {REPAIRED_KEY}, count(*) AS "KZD_Aantal",
-  count(*) FILTER (WHERE l_returnflag IN ('A', 'R')) AS "KZD_AantalBehaald"
+  count(*) FILTER (WHERE {WITH_WORD} AND l_returnflag IN ('A', 'R')) AS "KZD_AantalBehaald"
 FROM l WHERE hersteld IS NOT NULL GROUP BY levering, pid, hersteld""",
     "amo_aggregate": f"""WITH {L}
 SELECT {REPAIRED_KEY}, count(*) AS "AMO_Aantal"
-FROM l WHERE hersteld IS NOT NULL AND l_returnflag = 'A' GROUP BY levering, pid, hersteld""",
+FROM l WHERE hersteld IS NOT NULL GROUP BY levering, pid, hersteld""",
     "validate_single_row": f"""WITH {O}
 SELECT levering, 'VLP' AS recordtype, count(DISTINCT o_orderstatus) AS aantal FROM o
 GROUP BY levering HAVING count(DISTINCT o_orderstatus) != 1""",
@@ -221,10 +225,10 @@ FROM i LEFT JOIN p ON i.levering = p.levering AND i._persoon_id = p.pid
     "obt_full": f"""WITH {L}, {P}, {VLP}, {EXAMS},
 i AS (SELECT {ISP}, l_orderkey FROM l),
 b AS (SELECT vnr, {BPV_TOTALS} FROM l GROUP BY vnr),
-k AS (SELECT hersteld AS vnr, count(*) AS "KZD_Aantal", count(*) AS "KZD_AantalBehaald",
+k AS (SELECT hersteld AS vnr, count(*) AS "KZD_Aantal", count(*) FILTER (WHERE {WITH_WORD}) AS "KZD_AantalBehaald",
       FROM l WHERE hersteld IS NOT NULL GROUP BY hersteld),
 a AS (SELECT hersteld AS vnr, count(*) AS "AMO_Aantal"
-      FROM l WHERE hersteld IS NOT NULL AND l_returnflag = 'A' GROUP BY hersteld),
+      FROM l WHERE hersteld IS NOT NULL GROUP BY hersteld),
 e AS (SELECT vnr, dag AS "ISE_DatumBegin", cast(dag + 30 AS date) AS "ISE_DatumEind" FROM o
       WHERE o_orderpriority = '1-URGENT'),
 d AS (SELECT vnr, 'R' || o_orderkey AS "DIP_Resultaatvolgnummer", o_orderpriority AS "DIP_Opleidingcode",
@@ -241,20 +245,40 @@ FROM i LEFT JOIN p ON i.levering = p.levering AND i._persoon_id = p.pid
     "detail_bpv": f"""WITH {L}
 SELECT levering, {PID}, {PERSON}, {VNR}, cast(l_linenumber AS varchar) AS "Volgnummer", verzonden AS "DatumBegin",
   CASE WHEN l_linestatus = 'F' THEN cast(verzonden + 10 AS date) END AS "DatumEindWerkelijk",
-  cast(l_quantity AS bigint) AS "Omvang" FROM l""",
+  cast({HOURS} AS bigint) AS "Omvang" FROM l""",
     "detail_kzd_amo": f"""WITH {L}
 SELECT levering, {PERSON}, 'R' || l_orderkey AS "ResultaatvolgnummerDiploma",
   hersteld AS "Inschrijvingvolgnummer", 'K' || l_partkey AS "CodeKeuzedeel", {OUTCOME} AS "Resultaat", {PID},
   'KZD' AS _bron, cast(NULL AS varchar) AS "CodeAMvBOnderdeel" FROM l
 UNION ALL
 SELECT levering, bsn, onr, 'R' || l_orderkey, hersteld, NULL, NULL, pid, 'AMO', 'C' || l_suppkey
-FROM l WHERE l_returnflag = 'A'""",
+FROM l""",
     "detail_bekostiging": f"""WITH {L}
 SELECT levering, {PERSON}, 'B' || levering AS "BRIN", {VNR}, dag AS "Teldatum",
-  substr(o_orderpriority, 1, 1) AS "BBLBOLFactor", {PID}, 'BII' AS _bron FROM o WHERE o_orderstatus = 'P'
+  substr(o_orderpriority, 1, 1) AS "BBLBOLFactor", {PID}, 'BII' AS _bron FROM o
 UNION ALL
 SELECT levering, bsn, onr, 'B' || levering, vnr, verzonden, cast(l_quantity AS varchar), pid, 'TBGI'
-FROM l WHERE l_linestatus = 'O'""",
+FROM l""",
+    "detail_bekostiging_parent": f"""WITH {L}
+SELECT levering, {PERSON}, 'B' || levering AS "BRIN", {VNR}, dag AS "Teldatum",
+  substr(o_orderpriority, 1, 1) AS "BBLBOLFactor", {PID}, 'BII' AS _bron FROM o
+UNION ALL
+SELECT levering, bsn, onr, 'B' || levering, vnr, verzonden, cast(l_quantity AS varchar), pid, 'TBGI'
+FROM l""",
+    "xml_files": f"""WITH {L}, {XML_DATES}
+SELECT levering, 'B' || levering AS "BRIN", {VNR}, cast(verzonden + nr AS date) AS "Teldatum",
+  cast(l_partkey AS varchar) AS "Opleidingcode", l_quantity AS "BBLBOLFactor",
+  cast(l_suppkey AS varchar) AS "BPV_Volgnummer" FROM t""",
+    "landing_obt": f"""WITH {L}, {P}
+SELECT 'levering=' || l.levering || '/RO_' || l.levering AS levering, l.pid AS _persoon_id, {VNR},
+  verzonden AS "DatumBegin", cast(l_partkey AS varchar) AS "Opleidingcode", "Geboortedatum",
+  count(*) OVER (PARTITION BY vnr) AS "BPV_Aantal",
+  cast(coalesce(sum(CASE WHEN l_linestatus = 'O' THEN l_quantity END) OVER (PARTITION BY vnr), 0) AS double)
+    AS "BPV_TotaalOmvang"
+FROM l LEFT JOIN p ON l.levering = p.levering AND l.pid = p.pid""",
+    "skewed_join": """SELECT 'L' AS levering, CASE WHEN l_orderkey % 10 = 0 THEN l_partkey ELSE -1 END AS sleutel,
+  l_orderkey, l_linenumber, l_quantity, CASE WHEN l_orderkey % 10 = 0 THEN p_brand ELSE 'veel' END AS p_brand
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey""",
     "meta_leveringen": f"""WITH {O}, {VLP},
 s AS (SELECT levering, count(*) AS "AantalISG", count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS "AantalISE",
       count(*) FILTER (WHERE o_orderstatus = 'F') AS "AantalDIP" FROM o GROUP BY levering)
@@ -266,7 +290,7 @@ SELECT levering, count(*) AS aantal FROM l WHERE l_linestatus = 'O' GROUP BY lev
     "report_enrolment_rollup": f"""{WIDE} SELECT {KEY}, max("BPV_Aantal") AS "BPV_Aantal",
   max("BPV_TotaalOmvang") AS "BPV_TotaalOmvang" FROM w GROUP BY levering, pid, vnr""",
     "report_placement_hours": f"""WITH {L}
-SELECT levering, cast(count(*) AS bigint) AS "BPV_Aantal", cast(sum(l_quantity) AS double) AS "BPV_TotaalOmvang",
+SELECT levering, cast(count(*) AS bigint) AS "BPV_Aantal", cast(sum({HOURS}) AS double) AS "BPV_TotaalOmvang",
   count(DISTINCT vnr) AS inschrijvingen FROM l GROUP BY levering""",
     "report_deliveries": f"""WITH {L} SELECT levering, count(*) AS rijen FROM l GROUP BY levering""",
 }

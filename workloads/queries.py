@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +14,16 @@ from fundlake.operators.joins import keep_first_left_join
 from fundlake.operators.keys import PERSON_KEY, fk_repair, with_person_id
 from fundlake.operators.union import relaxed_union
 from fundlake.operators.validate import single_row_violations
+from fundlake.plans.landing import run_landing_zone
 from fundlake.plans.obt import ObtBuilder, ObtOptions, build_obt
 from fundlake.plans.reports import delivery_counts, enrolment_rollup, fundable_per_delivery, placement_hours
 from fundlake.session import work_dir, work_table
 from fundlake.sources.discovery import delivery_label, family_of
 from fundlake.sources.exports import export_counted, export_frames, visible
 from fundlake.sources.multirecord import decode_lines, parse_lines, stage_lines, tables_of
-from fundlake.sources.prepared import stack_prepared
+from fundlake.sources.prepared import read_results, stack_prepared
 from fundlake.sources.profile import profile_lines
-from fundlake.sources.tbgi import deliveries_of, parse_records
+from fundlake.sources.tbgi import deliveries_of, parse_records, read_xml
 from workloads import rendered as R
 from workloads import tables as T
 
@@ -203,6 +206,46 @@ def xml_inschrijving_diploma(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def xml_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Count dates from XML files, one per year, that are written first."""
+    folder = f"{work_dir(spark)}/fundlake/xml-{uuid4().hex}"
+    R.write_files(R.xml_documents(T.Source(spark, sf, staged=True)), folder)
+    year = F.regexp_extract("_metadata.file_path", "levering=([0-9]+)", 1)
+    return visible(decode_frames(read_xml(spark, folder, label=year).tables, "tbgi")["Teldatum"]).select(
+        "levering", "BRIN", "Inschrijvingvolgnummer", "Teldatum", "Opleidingcode", "BBLBOLFactor", "BPV_Volgnummer"
+    )
+
+
+# From files to wide tables.
+
+
+def landing_obt(spark: SparkSession, sf: str) -> DataFrame:
+    """A landing folder with a delivery per year: read, typed, stacked, joined and read back."""
+    folder = f"{work_dir(spark)}/fundlake/landing-{uuid4().hex}"
+    src = T.Source(spark, sf, staged=True)
+    lines = R.together(
+        R.headers(src), R.person_lines(src), R.enrolment_lines(src), R.period_lines(src), R.placement_lines(src)
+    )
+    R.write_files(lines, f"{folder}/raw")
+    R.name_files(spark, f"{folder}/raw", "RO_{}.csv")
+    run_landing_zone(spark, f"{folder}/raw", f"{folder}/prepared", f"{folder}/output")
+    return read_results(spark, f"{folder}/output", "obt_inschrijvingen").select(
+        "levering", "_persoon_id", "Inschrijvingvolgnummer", "DatumBegin", "Opleidingcode", "Geboortedatum",
+        "BPV_Aantal", "BPV_TotaalOmvang",
+    )
+
+
+def skewed_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Nine tenths of the line items on one key, cut into slices of a thousand rows."""
+    items = T.Source(spark, sf).lines.selectExpr(
+        "'L' AS levering", "IF(l_orderkey % 10 = 0, l_partkey, -1) AS sleutel", "l_orderkey", "l_linenumber", "l_quantity", VOLGORDE
+    )
+    parts = T.table(spark, sf, "part").selectExpr("'L' AS levering", "p_partkey AS sleutel", "p_brand", f"struct(p_partkey AS blok) AS {VOLGORDE}")
+    hot = spark.createDataFrame([("L", -1, "veel")], "levering string, sleutel long, p_brand string")
+    hot = hot.withColumn(VOLGORDE, F.expr("struct(0L AS blok)"))
+    return visible(keep_first_left_join(items, parts.union(hot), ["levering", "sleutel"], hot_rows=1000))
+
+
 # Stacking.
 
 
@@ -219,7 +262,7 @@ def union_drift(spark: SparkSession, sf: str) -> DataFrame:
 
 def label_stack(spark: SparkSession, sf: str) -> DataFrame:
     """Orders written as three delivery folders under two schemas, then stacked by folder name."""
-    base = f"{work_dir(spark)}/fundlake/label-stack-{spark.sparkContext.applicationId}"
+    base = f"{work_dir(spark)}/fundlake/label-stack-{uuid4().hex}"
     columns = {"F": ["o_orderkey", "dag", "o_custkey"], "O": ["o_orderkey", "dag"], "P": ["o_orderkey", "dag"]}
     rows = T.table(spark, sf, "orders").withColumn("dag", F.col("o_orderdate").cast("date"))
     for status, kept in columns.items():
@@ -229,7 +272,7 @@ def label_stack(spark: SparkSession, sf: str) -> DataFrame:
 
 def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Parts written as CSV and read back; names get a quote and a comma."""
-    folder = f"{work_dir(spark)}/fundlake/csv-{spark.sparkContext.applicationId}"
+    folder = f"{work_dir(spark)}/fundlake/csv-{uuid4().hex}"
     parts = T.table(spark, sf, "part").selectExpr(
         "p_partkey", "concat('\"', p_name, ', ', p_brand, '\"') AS naam", "nullif(p_type, 'ECONOMY') AS soort", "p_size"
     )
@@ -240,7 +283,7 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 def run_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per written table, counted while writing."""
     src = T.Source(spark, sf)
-    folder = f"{work_dir(spark)}/fundlake/counts-{spark.sparkContext.applicationId}"
+    folder = f"{work_dir(spark)}/fundlake/counts-{uuid4().hex}"
     frames = {name: visible(T.ALL_TABLES[name](src)) for name in ("PER", "DIP", "AMO")}
     counts = export_counted(frames, folder)
     return spark.createDataFrame(list(counts.items()), "tabel string, rijen bigint")
@@ -334,6 +377,13 @@ def detail_kzd_amo(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def detail_bekostiging(spark: SparkSession, sf: str) -> DataFrame:
+    """Persons of count dates looked up by enrolment number."""
+    options = ObtOptions(person_by_key=True)
+    return _builder(spark, sf, "BII", "Teldatum", "Inschrijving", options=options).detail_bekostiging()
+
+
+def detail_bekostiging_parent(spark: SparkSession, sf: str) -> DataFrame:
+    """Persons of count dates from their parent element, the default."""
     return _builder(spark, sf, "BII", "Teldatum", "Inschrijving").detail_bekostiging()
 
 
@@ -405,7 +455,11 @@ ALL = {
         obt_full,
         detail_bpv,
         detail_kzd_amo,
+        landing_obt,
+        skewed_join,
+        xml_files,
         detail_bekostiging,
+        detail_bekostiging_parent,
         meta_leveringen,
         tbgi_fallback,
         report_fundable,

@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from fundlake.columns import VOLGORDE
+from fundlake.sources.files import children, rename
 from workloads.tables import Source
 
 EVEN = "cast(levering AS int) % 2 = 0"
@@ -141,7 +142,7 @@ def enrolment_xml(src: Source) -> DataFrame:
 
 
 def diploma_xml(src: Source) -> DataFrame:
-    """A diploma element per finished order with one signal."""
+    """A diploma element per order with one signal."""
     parts = [
         _element("BRIN", "concat('B', levering)"),
         _element("Burgerservicenummer", "Burgerservicenummer"),
@@ -151,12 +152,35 @@ def diploma_xml(src: Source) -> DataFrame:
         _element("Signaalcode", "o_orderpriority"),
         "'</Signaal>'",
     ]
-    return (
-        src.orders
-        .where("o_orderstatus = 'F'")
-        .selectExpr(
-            "levering",
-            f"struct(1L AS blok, o_orderkey AS regel, 0L AS deel) AS {VOLGORDE}",
-            f"concat('<Diploma>', {', '.join(parts)}, '</Diploma>') AS xml",
-        )
+    return src.orders.selectExpr(
+        "levering",
+        f"struct(1L AS blok, o_orderkey AS regel, 0L AS deel) AS {VOLGORDE}",
+        f"concat('<Diploma>', {', '.join(parts)}, '</Diploma>') AS xml",
+    )
+
+
+def xml_documents(src: Source) -> DataFrame:
+    """Lines of a whole document per year: its opening, all elements, its end."""
+    elements = enrolment_xml(src).unionAll(diploma_xml(src)).withColumnRenamed("xml", "tekst")
+    years = src.orders.select("levering").distinct()
+    opening = '<Bekostigingsgrondslagen xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance">'
+    ends = years.selectExpr(
+        "levering",
+        "explode(array("
+        f"struct(struct(-1L AS blok, 0L AS regel, 0L AS deel) AS plek, '{opening}' AS tekst), "
+        "struct(struct(2L AS blok, 0L AS regel, 0L AS deel) AS plek, '</Bekostigingsgrondslagen>' AS tekst))) AS e",
     )
+    return elements.unionAll(ends.selectExpr("levering", f"e.plek AS {VOLGORDE}", "e.tekst"))
+
+
+def write_files(lines: DataFrame, folder: str) -> None:
+    """Lines in their order, in one file per delivery."""
+    dealt = lines.select("levering", VOLGORDE, "tekst").repartition("levering").sortWithinPartitions("levering", VOLGORDE)
+    dealt.select("levering", "tekst").write.partitionBy("levering").text(folder)
+
+
+def name_files(spark: SparkSession, folder: str, pattern: str) -> None:
+    """Call each delivery's file by the delivery."""
+    for part in children(spark, folder):
+        for name in children(spark, f"{folder}/{part}") if "=" in part else ():
+            rename(spark, f"{folder}/{part}/{name}", f"{folder}/{part}/{pattern.format(part.partition('=')[2])}")

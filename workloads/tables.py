@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.columns import VOLGORDE
+from fundlake.columns import OUDER_PREFIX, VOLGORDE
 from fundlake.session import work_table
 
 # Full position of a line item: the key alone is not unique.
@@ -35,12 +35,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the files at hand make fewer tasks than that; larger inputs stay as they are read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 class Source:
     """Orders and line items of one folder.
 
@@ -54,7 +48,7 @@ class Source:
     @cached_property
     def orders(self) -> DataFrame:
         """Orders with delivery, person and enrolment keys. Every fifth customer is known by another number."""
-        return spread(table(self.spark, self.sf, "orders"), "o_orderkey").selectExpr(
+        return table(self.spark, self.sf, "orders").selectExpr(
             "*",
             "cast(year(o_orderdate) AS string) AS levering",
             "CASE WHEN o_custkey % 5 != 0 THEN cast(o_custkey AS string) END AS Burgerservicenummer",
@@ -74,7 +68,7 @@ class Source:
             "Onderwijsnummer",
             "Inschrijvingvolgnummer",
         )
-        items = spread(table(self.spark, self.sf, "lineitem"), "l_orderkey")
+        items = table(self.spark, self.sf, "lineitem")
         joined = items.withColumn("verzonden", F.col("l_shipdate").cast("date")).join(keys, "l_orderkey")
         lines = work_table(joined, "regels-per-order") if self.staged else joined
         return lines.withColumn(VOLGORDE, F.struct(*LINE_POSITION))
@@ -160,7 +154,7 @@ def bpv(src: Source) -> DataFrame:
         "cast(l_linenumber AS string) AS Volgnummer",
         "verzonden AS DatumBegin",
         "CASE WHEN l_linestatus = 'F' THEN date_add(verzonden, 10) END AS DatumEindWerkelijk",
-        "cast(l_quantity AS bigint) AS Omvang",
+        "CASE WHEN l_orderkey % 7 != 0 THEN cast(l_quantity AS bigint) END AS Omvang",
         VOLGORDE,
     )
 
@@ -192,16 +186,14 @@ def kzd(src: Source) -> DataFrame:
         *_RESULT_KEYS,
         "'KZD' AS Recordsoort",
         "concat('K', l_partkey) AS CodeKeuzedeel",
-        f"CASE l_returnflag {outcome} END AS Resultaat",
+        f"CASE l_linenumber WHEN 4 THEN NULL WHEN 5 THEN 'Vrijgesteld' ELSE CASE l_returnflag {outcome} END END AS Resultaat",
         VOLGORDE,
     )
 
 
 def amo(src: Source) -> DataFrame:
-    return (
-        src.lines
-        .where("l_returnflag = 'A'")
-        .selectExpr(*_RESULT_KEYS, "'AMO' AS Recordsoort", "concat('C', l_suppkey) AS CodeAMvBOnderdeel", VOLGORDE)
+    return src.lines.selectExpr(
+        *_RESULT_KEYS, "'AMO' AS Recordsoort", "concat('C', l_suppkey) AS CodeAMvBOnderdeel", VOLGORDE
     )
 
 
@@ -238,18 +230,14 @@ def slr(src: Source) -> DataFrame:
 
 def bii(src: Source) -> DataFrame:
     """Funding basis with its factors as text."""
-    return (
-        src.orders
-        .where("o_orderstatus = 'P'")
-        .selectExpr(
-            *KEYS,
-            "'BII' AS Recordsoort",
-            "concat('B', levering) AS BRIN",
-            "Inschrijvingvolgnummer",
-            "dag AS Teldatum",
-            "substr(o_orderpriority, 1, 1) AS BBLBOLFactor",
-            VOLGORDE,
-        )
+    return src.orders.selectExpr(
+        *KEYS,
+        "'BII' AS Recordsoort",
+        "concat('B', levering) AS BRIN",
+        "Inschrijvingvolgnummer",
+        "dag AS Teldatum",
+        "substr(o_orderpriority, 1, 1) AS BBLBOLFactor",
+        VOLGORDE,
     )
 
 
@@ -264,18 +252,16 @@ def inschrijving(src: Source) -> DataFrame:
 
 
 def teldatum(src: Source) -> DataFrame:
-    """Count dates with a numeric factor; their person sits in the parent, found by enrolment number."""
-    return (
-        src.lines
-        .where("l_linestatus = 'O'")
-        .selectExpr(
-            "levering",
-            "concat('B', levering) AS BRIN",
-            "Inschrijvingvolgnummer",
-            "verzonden AS Teldatum",
-            "l_quantity AS BBLBOLFactor",
-            VOLGORDE,
-        )
+    """Count dates with a numeric factor and the person of their parent element."""
+    return src.lines.selectExpr(
+        "levering",
+        "concat('B', levering) AS BRIN",
+        "Inschrijvingvolgnummer",
+        "verzonden AS Teldatum",
+        "l_quantity AS BBLBOLFactor",
+        f"Burgerservicenummer AS {OUDER_PREFIX}Burgerservicenummer",
+        f"Onderwijsnummer AS {OUDER_PREFIX}Onderwijsnummer",
+        VOLGORDE,
     )
 
 
