@@ -3,7 +3,9 @@
 From a bounded sample a graph of nearest neighbours is made and cut into parts of equal size with few edges between them.
 A small network learns to name the parts that hold a vector's neighbours. Every vector is indexed in its most probable
 part; a query goes to its most probable parts, as many as the sample needs for the recall asked for, and all vectors of
-those parts are ranked by their exact inner product. Parts are searched in blocks, so a part may be of any size.
+those parts are ranked by their exact inner product. Parts are searched in blocks, so a part may be of any size, and a
+block answers only with what can still be among the nearest: what does not fall behind the query's best in the sample,
+which every query is compared with.
 """
 
 from __future__ import annotations
@@ -168,13 +170,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
-def best(base: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, list, list]]:
-    """Ids and exact scores of the ``k`` nearest of each query, ties to the smaller id; the query's own id is left out.
+def best(base: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, bounds: np.ndarray, k: int) -> Iterator[tuple[int, list, list]]:
+    """Ids and exact scores of the ``k`` nearest of each query, ties to the smaller id; the query's own id and what is
+    under the query's bound are left out.
 
     Candidates are taken from a matrix product with some slack, then scored one by one, so that equal vectors tie.
     """
     rough = queries @ base.T
-    rough[own[:, None] == ids[None, :]] = -np.inf
+    rough[(own[:, None] == ids[None, :]) | (rough < bounds[:, None])] = -np.inf
     for n, scores in enumerate(rough):
         left = int((scores > -np.inf).sum())
         if not left:
@@ -196,43 +199,67 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
     spark = base.sparkSession
     sample = base.orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(SAMPLE).toPandas()
     rows = base.count()
-    matrix = np.array(sample["embedding"].tolist(), dtype=np.float64)
-    index = spark.sparkContext.broadcast(learn(matrix, rows, min(k, 20), recall))
+    sample = sample.drop_duplicates("vec_id")
+    matrix = np.array(sample["embedding"].tolist(), dtype=np.float32)
+    index = spark.sparkContext.broadcast(learn(matrix.astype(np.float64), rows, k, recall))
+    known = spark.sparkContext.broadcast((matrix, sample["vec_id"].to_numpy(dtype=np.int64)))
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each query's score that ``k`` vectors of the sample reach besides itself: no nearest one is under it."""
+        base = known.value[0].astype(np.float64)
+        for batch in batches:
+            asked, bounds = _matrix(batch.column("embedding")), np.full(batch.num_rows, -np.inf)
+            for at in range(0, len(asked) if len(base) > k else 0, 500):
+                scores = np.partition(asked[at : at + 500] @ base.T, len(base) - k - 1, axis=1)[:, len(base) - k - 1]
+                bounds[at : at + 500] = scores - 1e-9 * (1 + np.abs(scores))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bounds)], [*batch.schema.names, "bound"])
 
     def route(kind: int, probes: int):
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ranks = index.value.rank(_matrix(batch.column("embedding")))[:, :probes]
                 at = np.repeat(np.arange(len(ranks)), ranks.shape[1] if len(ranks) else 0)
-                columns = [batch.column(name).take(pa.array(at)) for name in ("vec_id", "embedding")]
+                columns = [batch.column(name).take(pa.array(at)) for name in ("vec_id", "embedding", "bound")]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ranks.ravel().astype(np.int32)), pa.array(np.full(len(at), kind, np.int32)), *columns],
-                    ["part", "kind", "vec_id", "embedding"],
+                    ["part", "kind", "vec_id", "embedding", "bound"],
                 )
 
         return assign
 
-    schema = "part int, kind int, vec_id long, embedding array<float>"
-    indexed = stage(base.mapInArrow(route(0, 1), schema), "indexed")
+    schema = "part int, kind int, vec_id long, embedding array<float>, bound double"
+    indexed = stage(base.withColumn("bound", F.lit(None).cast("double")).mapInArrow(route(0, 1), schema), "indexed")
     sizes = indexed.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))  # a row per part
     sizes = F.broadcast(spark.createDataFrame(sizes.collect(), "part int, blocks int"))
     held = indexed.join(sizes, "part").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
-    sent = asked.mapInArrow(route(1, index.value.probes), schema).join(sizes, "part")
+    bounded = asked.mapInArrow(bound, "vec_id long, embedding array<float>, bound double")
+    sent = bounded.mapInArrow(route(1, index.value.probes), schema).join(sizes, "part")
     sent = sent.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = held.unionByName(sent).drop("blocks").repartition("part", "block").sortWithinPartitions("part", "block", "kind")
 
+    def answers(base: np.ndarray, names: np.ndarray, asked: np.ndarray, own: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(own) if len(base) else 0, 256):
+            found = list(best(base, names, asked[at : at + 256], own[at : at + 256], bounds[at : at + 256], k))
+            columns = [
+                pa.array([own[at + n] for n, near, _ in found for _ in near], pa.int64()),
+                pa.array([x for _, near, _ in found for x in near], pa.int64()),
+                pa.array([x for _, _, scores in found for x in scores], pa.float64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pieces() -> Iterator[tuple[tuple, np.ndarray, np.ndarray]]:
+        def pieces() -> Iterator[tuple]:
             for batch in batches:
                 keys = np.stack([batch.column(name).to_numpy() for name in ("part", "block", "kind")], axis=1)
                 cuts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1), [True]])) if len(keys) else []
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                    yield tuple(keys[a].tolist()), batch.column("vec_id").to_numpy()[a:b], _matrix(batch.column("embedding").slice(a, b - a))
+                    bounds = batch.column("bound").to_numpy(zero_copy_only=False)[a:b]
+                    yield tuple(keys[a].tolist()), batch.column("vec_id").to_numpy()[a:b], _matrix(batch.column("embedding").slice(a, b - a)), bounds
 
         for _, group in groupby(pieces(), key=lambda piece: piece[0][:2]):
             base, ids = [], []
             matrix = None
-            for (_, _, kind), own, values in group:
+            for (_, _, kind), own, values, bounds in group:
                 if kind == 0:
                     base.append(values)
                     ids.append(own)
@@ -240,17 +267,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
                 if not base:
                     continue
                 if matrix is None:
-                    matrix, known = np.concatenate(base), np.concatenate(ids)
-                for at in range(0, len(own), 256):
-                    found = list(best(matrix, known, values[at : at + 256], own[at : at + 256], k))
-                    columns = [
-                        pa.array([own[at + n] for n, near, _ in found for _ in near], pa.int64()),
-                        pa.array([x for _, near, _ in found for x in near], pa.int64()),
-                        pa.array([x for _, _, scores in found for x in scores], pa.float64()),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
-
-    found = met.mapInArrow(compare, "query_id long, vec_id long, score double").distinct()
+                    matrix, names = np.concatenate(base), np.concatenate(ids)
+                yield from answers(matrix, names, values, own, bounds)
+
+    def near_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = known.value[0].astype(np.float64)
+        for batch in batches:
+            asked, own = _matrix(batch.column("embedding")), batch.column("vec_id").to_numpy()
+            yield from answers(base, known.value[1], asked, own, np.full(len(own), -np.inf))
+
+    schema = "query_id long, vec_id long, score double"
+    found = met.mapInArrow(compare, schema).union(asked.mapInArrow(near_sample, schema)).distinct()
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
