@@ -8,7 +8,8 @@ break one; ``plan`` chooses by cost. A set whose segments agree with those of an
 and is gone after one meeting of signatures; of the rest, the rarest signatures that still suffice bring blocks of sets
 together, and every pair of two such blocks is compared exactly.
 
-Equal sets are one node. Signatures and nodes travel as packed arrays, some thousand to a row.
+Equal sets are one node, known by 64 bits of a hash while signatures meet and by 128 after that. Signatures travel as
+packed arrays, some thousand to a row.
 """
 
 from __future__ import annotations
@@ -38,9 +39,10 @@ ACCIDENT, COMMON = 1000.0, 0.02
 #: Channel of single shingles for sets with too few segments.
 SINGLES = 63
 
-ITEM = np.dtype([("sig", "<u8"), ("at", "<u4"), ("tag", "<u2")])
-NODE = np.dtype([("h1", "<i8"), ("h2", "<i8"), ("need", "<i4"), ("channel", "<u1")])
-MET = np.dtype([("sig", "<u8"), ("h1", "<i8"), ("h2", "<i8"), ("need", "<i4"), ("n", "<i4"), ("tag", "<u2"), ("channel", "<u1")])
+#: A signature on its way: 48 bits of it (the bucket has the rest), the node, and what the node needs in its channel.
+ITEM = np.dtype([("low", "<u4"), ("high", "<u2"), ("node", "<i8"), ("need", "<u2"), ("tag", "<u2")])
+#: A signature that nodes share, with the number of rows that have it.
+MET = np.dtype([("sig", "<u8"), ("node", "<i8"), ("n", "<i4"), ("need", "<u2"), ("tag", "<u2")])
 OWN = np.dtype([("doc_id", "<i8"), ("key", "<i8"), ("n", "<i8"), ("h1", "<i8"), ("h2", "<i8"), ("known", "?")])
 
 
@@ -95,7 +97,7 @@ def plan(channel: int) -> tuple[int, int]:
         for segments in range(1, 4 * top):
             deleted = round(share * segments)
             exact = segments - deleted
-            if all(
+            if deleted <= 100 and all(
                 (w := _weight(size, exact, deleted))[0] - 2 * w[1] >= budget(size, channel) + 1
                 for size in (max(3, low), top)
             ):
@@ -113,8 +115,8 @@ def plan(channel: int) -> tuple[int, int]:
 def signatures(own: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Channel, needed weight of agreeing segments, signatures and tags of a set.
 
-    A tag is 0 for an exact segment (weight 1); a segment with deletions has its number in the tag and its weight less
-    one in the lowest bit.
+    A tag has the channel in its upper byte. The lower one is 0 for an exact segment (weight 1); a segment with deletions
+    has its number there, from 1, and its weight less one in the lowest bit.
     """
     size, weak = len(own), False
     for channel in channels(size):
@@ -134,16 +136,17 @@ def signatures(own: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
         total, number = np.add.reduceat(mixed, first), segment[first]
         salt = _mix(number + _U((channel + 1) << 40))
         sigs, tags = [_mix(total ^ salt)], [np.where(number < deleted, number * _U(2) + _U(2) + (count > 1).astype(_U), _U(0))]
+        base = np.uint16(channel << 8)
         if deleted:
             inside = np.repeat((number < deleted) & (count > 1), count)
             sigs.append(_mix((np.repeat(total, count) - mixed)[inside] ^ np.repeat(salt, count)[inside]))
             tags.append((segment * _U(2) + _U(3))[inside])
         need = int(np.where((number < deleted) & (count > 1), 2, 1).sum()) - most
         weak |= need <= 0
-        yield channel, need, np.concatenate(sigs), np.concatenate(tags).astype(np.uint16)
+        yield channel, need, np.concatenate(sigs), np.concatenate(tags).astype(np.uint16) + base
     if weak:
         most = max(budget(size, channel) for channel in channels(size))
-        yield SINGLES, size - most, _mix(own + _U(0x5851F42D4C957F2D)), np.zeros(size, np.uint16)
+        yield SINGLES, size - most, _mix(own + _U(0x5851F42D4C957F2D)), np.full(size, SINGLES << 8, np.uint16)
 
 
 PACKED = "bucket long, kind int, head binary, body binary"
@@ -161,35 +164,33 @@ def _send(buckets: int):
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, nodes, sent, parts = [], [], set(), []
+            own, sent, parts = [], set(), []
             for doc_id, key, text in rows_of(batch, "doc_id", "key", "text"):
                 values = shingles(text or "")
                 digest = xxhash.xxh3_128_intdigest(values.tobytes())
                 h1, h2 = (digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63)
                 own.append((doc_id or 0, key or 0, len(values), h1, h2, doc_id is not None))
-                if doc_id is None or len(values) < 3 or (h1, h2) in sent:
+                if doc_id is None or len(values) < 3 or h1 in sent:
                     continue
-                sent.add((h1, h2))
-                for channel, need, sigs, tags in signatures(values):
-                    parts.append((sigs, np.full(len(sigs), len(nodes), np.uint32), tags))
-                    nodes.append((h1, h2, need, channel))
+                sent.add(h1)
+                for _, need, sigs, tags in signatures(values):
+                    part = np.empty(len(sigs), ITEM)
+                    # A need beyond 16 bits is lowered to what fits, which lets more through and loses nothing.
+                    part["node"], part["need"], part["tag"] = h1, min(max(need, 1), 65_535), tags
+                    parts.append((sigs, part))
             if own:
                 yield _packed([(-1 - abs(own[0][3]) % (1 << 40), 0, np.array(own, OWN).tobytes(), None)])
             if not parts:
                 continue
-            table = np.array(nodes, NODE)
-            items = np.empty(sum(len(p[0]) for p in parts), ITEM)
-            for name, columns in zip(ITEM.names, zip(*parts, strict=True), strict=True):
-                items[name] = np.concatenate(columns)
-            bucket = (items["sig"] >> _U(33)) % _U(buckets)
+            sigs, items = (np.concatenate(x) for x in zip(*parts, strict=True))
+            items["low"], items["high"] = sigs & _U(0xFFFFFFFF), (sigs >> _U(32)) & _U(0xFFFF)
+            bucket = (sigs >> _U(16)) % _U(buckets)
             order = np.argsort(bucket, kind="stable")
             items, bucket = items[order], bucket[order]
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            rows = []
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                part = items[a:b].copy()
-                used, part["at"] = np.unique(part["at"], return_inverse=True)
-                rows.append((int(bucket[a]), 1, table[used].tobytes(), part.tobytes()))
+            rows = [
+                (int(bucket[first]), 1, None, items[first : first + count].tobytes())
+                for first, count in zip(*(x.tolist() for x in _runs(bucket)), strict=True)
+            ]
             yield _packed(rows)
 
     return send
@@ -201,12 +202,12 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[
     return groupby(rows, key=lambda row: row[0].as_py())
 
 
-def _arrive(head: bytes, body: bytes) -> np.ndarray:
-    nodes, items = np.frombuffer(head, NODE), np.frombuffer(body, ITEM)
+def _arrive(bucket: int, body: bytes) -> np.ndarray:
+    items = np.frombuffer(body, ITEM)
     met = np.zeros(len(items), MET)
-    for name in ("h1", "h2", "need", "channel"):
-        met[name] = nodes[name][items["at"]]
-    met["sig"], met["tag"] = items["sig"], items["tag"]
+    for name in ("node", "need", "tag"):
+        met[name] = items[name]
+    met["sig"] = _mix((items["low"] | items["high"].astype(_U) << _U(32)) ^ _U(bucket * 0x9E3779B97F4A7C15 % (1 << 64)))
     return met
 
 
@@ -222,7 +223,7 @@ def _shared(held: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     order = np.argsort(held["sig"], kind="stable")
     held, told = held[order], told[order]
     first, count = _runs(held["sig"])
-    other = held["h1"] != np.repeat(held["h1"][first], count)
+    other = held["node"] != np.repeat(held["node"][first], count)
     shared = np.add.reduceat(other, first) > 0 if len(first) else np.empty(0, bool)
     each = np.repeat(shared, count)
     new = held[each & ~told]
@@ -238,7 +239,7 @@ def _meet(parts: int):
     a bucket holds two rows per signature at most, however many nodes have it."""
 
     def deal(new: np.ndarray) -> Iterator[pa.RecordBatch]:
-        to = (new["h1"].astype(_U) >> _U(9)) % _U(parts)
+        to = (new["node"].astype(_U) >> _U(9)) % _U(parts)
         order = np.argsort(to, kind="stable")
         new, to = new[order], to[order]
         for first, count in zip(*(x.tolist() for x in _runs(to)), strict=True):
@@ -251,8 +252,8 @@ def _meet(parts: int):
                     yield _packed([(bucket, kind.as_py(), head.as_py(), None)])
                 continue
             held, told, waiting, size = np.empty(0, MET), np.empty(0, bool), [], 0
-            for _, _, head, body in rows:
-                waiting.append(_arrive(head.as_py(), body.as_py()))
+            for _, _, _, body in rows:
+                waiting.append(_arrive(bucket, body.as_py()))
                 size += len(waiting[-1])
                 if size > 2 * TOGETHER:
                     new, held, told = _shared(np.concatenate([held, *waiting]), np.concatenate([told, np.zeros(size, bool)]))
@@ -280,8 +281,8 @@ def _judge_node(rows: np.ndarray) -> tuple | None:
     ``need`` of the weight of its segments must agree with a partner, so of the shared ones all but ``need`` - 1 have to
     be asked for: the rarest.
     """
-    need = max(1, int(rows["need"][0]))
-    single = rows["tag"] == 0
+    need = int(rows["need"][0])
+    single = rows["tag"] & 255 == 0
     deleted = np.unique(rows["tag"][~single])
     weight = int(single.sum()) + int((1 + (deleted & 1)).sum())
     if weight < need:
@@ -292,7 +293,7 @@ def _judge_node(rows: np.ndarray) -> tuple | None:
     probing = ~single | (np.cumsum(single) <= ask)
     home = rows[-1]
     spread = max(1, -(-int(home["n"]) // BLOCK))
-    block = xxhash.xxh3_64_intdigest(b"%d %d %d" % (home["sig"], spread, int(home["h1"]) % spread)) - (1 << 63)
+    block = xxhash.xxh3_64_intdigest(b"%d %d %d" % (home["sig"], spread, int(home["node"]) % spread)) - (1 << 63)
     sigs = rows["sig"].view(np.int64)
     return block, sigs[probing].tolist(), sigs[~probing].tolist()
 
@@ -305,18 +306,24 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield _surveyed([(0, d if known else None, k, n, a, b, None, None, None) for d, k, n, a, b, known in own.tolist()])
             continue
         met = np.concatenate([np.frombuffer(body.as_py(), MET) for _, _, _, body in rows])
-        met = met[np.lexsort((-met["n"], met["sig"], met["channel"], met["h2"], met["h1"]))]
-        same = (met["h1"][1:] == met["h1"][:-1]) & (met["h2"][1:] == met["h2"][:-1]) & (met["channel"][1:] == met["channel"][:-1])
+        met = met[np.lexsort((-met["n"], met["sig"], met["tag"] >> 8, met["node"]))]
+        same = (met["node"][1:] == met["node"][:-1]) & (met["tag"][1:] >> 8 == met["tag"][:-1] >> 8)
         met = met[np.concatenate([[True], ~(same & (met["sig"][1:] == met["sig"][:-1]))])]
-        same = (met["h1"][1:] == met["h1"][:-1]) & (met["h2"][1:] == met["h2"][:-1]) & (met["channel"][1:] == met["channel"][:-1])
+        same = (met["node"][1:] == met["node"][:-1]) & (met["tag"][1:] >> 8 == met["tag"][:-1] >> 8)
         cuts = np.flatnonzero(np.concatenate([[True], ~same, [True]]))
-        out = []
+        out: list[list] = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if b - a >= (0 if met["tag"][a:b].any() else met["need"][a]) and (found := _judge_node(met[a:b])):
-                out.append((1, None, None, None, int(met["h1"][a]), int(met["h2"][a]), *found))
+            if b - a < met["need"][a] // 2 or not (found := _judge_node(met[a:b])):
+                continue
+            if out and out[-1][4] == int(met["node"][a]):
+                # The next channel of a node: it stays in the block of the lower one, which smaller partners share.
+                out[-1][7] += found[1]
+                out[-1][8] += found[2]
+                continue
             if len(out) >= 2000:
                 yield _surveyed(out)
                 out = []
+            out.append([1, None, None, None, int(met["node"][a]), None, *found])
         yield _surveyed(out)
 
 
@@ -372,9 +379,9 @@ def similar_links(keyed: DataFrame, surveyed: DataFrame) -> DataFrame:
     """Links (a, b: doc ids) that span the groups of similar sets. Nodes stand for the smallest document that has them."""
     own, nodes = surveyed.where("kind = 0 and doc_id is not null and n > 0"), surveyed.where("kind = 1")
     first = own.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "key")).alias("first"))
-    wanted = nodes.join(first, ["h1", "h2"]).select(F.col("first.doc_id").alias("own_id"), F.col("first.key").alias("own_key"), "block").distinct()
+    wanted = nodes.select("h1", "block").join(first, "h1").select(F.col("first.doc_id").alias("own_id"), F.col("first.key").alias("own_key"), "block").distinct()
     members = keyed.join(wanted.hint("shuffle_hash"), F.expr("doc_id = own_id and key = own_key"))
-    members = stage(members.select("doc_id", "block", "text").mapInArrow(_sets, "doc_id long, block long, shingles binary"), "sets").dropDuplicates(["doc_id", "block"])
+    members = stage(members.select("doc_id", "block", "text").mapInArrow(_sets, "doc_id long, block long, shingles binary"), "sets")
 
     asked = nodes.select("block", F.explode("probes").alias("sig"), F.lit(True).alias("probe"))
     shown = nodes.select("block", F.explode("others").alias("sig"), F.lit(False).alias("probe"))

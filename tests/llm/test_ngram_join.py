@@ -104,8 +104,8 @@ def test_similar_sets_agree_in_as_many_segments_as_needed():
 
 def weight(need, own, other):
     shared = [own[s] for s in own if s in other]
-    deleted = {t for t in shared if t}
-    return shared and sum(t == 0 for t in shared) + sum(1 + (t & 1) for t in deleted) >= need
+    deleted = {t for t in shared if t & 255}
+    return shared and sum(t & 255 == 0 for t in shared) + sum(1 + (t & 1) for t in deleted) >= need
 
 
 def test_weak_sets_send_single_shingles(monkeypatch):
