@@ -58,9 +58,9 @@ def work_area(spark: SparkSession) -> Iterator[str]:
         remove(spark, folder)
 
 
-def work_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def work_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: later steps start from files, not from the lineage."""
     spark = df.sparkSession
     path = f"{_run_folder.get() or f'{work_dir(spark)}/fundlake'}/{name}-{uuid4().hex}"
-    df.write.partitionBy(*(partition_by or [])).parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -150,8 +150,9 @@ def tables_of(parsed: DataFrame, family: str, profile: DataFrame | None = None)
 
 
 def stage_lines(parsed: DataFrame, family: str) -> DataFrame:
-    """Parsed lines written once, a folder per record type, so that every table reads only its own rows."""
-    return work_table(parsed, f"regels-{family}", partition_by=["code"])
+    """Parsed lines written once, sorted by record type within each file: every table skips the pages of the others, and
+    there are as many files as reading tasks, not as many as tasks times record types."""
+    return work_table(parsed.sortWithinPartitions("code"), f"regels-{family}")
 
 
 def read_multi_record(

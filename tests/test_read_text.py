@@ -5,7 +5,7 @@ from fundlake.columns import DATUMFORMAAT, VOLGORDE
 from fundlake.plans.normalise import read_grondslag, read_ro
 from fundlake.schemas import load_schema
 from fundlake.sources.exports import visible
-from fundlake.sources.multirecord import parse_lines, read_lines, read_multi_record
+from fundlake.sources.multirecord import parse_lines, read_lines, read_multi_record, stage_lines
 
 
 def rows(df, *columns):
@@ -119,3 +119,9 @@ def test_profile_combines_before_the_shuffle(spark, delivery):
     plan = summarise_splits(parse_lines(read_lines(spark, delivery(RO_PIPE)), "ro"), ["code", "scheiding"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in text and "partial_min_by" in text
+
+
+def test_staged_lines_are_a_file_per_task(spark, delivery):
+    path = delivery(RO_PIPE)
+    lines = parse_lines(read_lines(spark, path), "ro")
+    assert len(stage_lines(lines.repartition(3), "ro").inputFiles()) <= 3
