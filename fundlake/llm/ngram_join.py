@@ -33,7 +33,7 @@ WORDS = 5
 #: Signatures that meet in one bucket on average, and bytes of text that give one signature.
 TOGETHER, BYTES_PER_SIGNATURE = 1_200_000, 13
 #: Nodes in a block on average, at most.
-BLOCK = 256
+BLOCK = 512
 #: Cost of an accidental agreement in signatures, and the chance that a shingle is one that many texts have.
 ACCIDENT, COMMON = 1000.0, 0.02
 #: Channel of single shingles for sets with too few segments.
@@ -265,7 +265,7 @@ def _meet(parts: int):
     return meet
 
 
-SURVEYED = "kind int, doc_id long, key long, n long, h1 long, h2 long, block long, probes array<long>, others array<long>"
+SURVEYED = "kind int, doc_id long, key long, n long, h1 long, h2 long, home long, probes array<long>, others array<long>"
 _KINDS = [pa.int32(), *[pa.int64()] * 6, pa.list_(pa.int64()), pa.list_(pa.int64())]
 _NAMES = [part.split()[0] for part in SURVEYED.split(", ")]
 
@@ -276,7 +276,8 @@ def _surveyed(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _judge_node(rows: np.ndarray) -> tuple | None:
-    """Block, probing and other shared signatures of a node in a channel, or None if it cannot have a partner.
+    """Home, probing and other shared signatures of a node in a channel, or None if it cannot have a partner. The home is
+    the signature that most others share, so similar sets mostly have one home.
 
     ``need`` of the weight of its segments must agree with a partner, so of the shared ones all but ``need`` - 1 have to
     be asked for: the rarest.
@@ -291,11 +292,8 @@ def _judge_node(rows: np.ndarray) -> tuple | None:
     rows, single = rows[order], single[order]
     ask = weight - need + 1 - int((1 + (deleted & 1)).sum())
     probing = ~single | (np.cumsum(single) <= ask)
-    home = rows[-1]
-    spread = max(1, -(-int(home["n"]) // BLOCK))
-    block = xxhash.xxh3_64_intdigest(b"%d %d %d" % (home["sig"], spread, int(home["node"]) % spread)) - (1 << 63)
     sigs = rows["sig"].view(np.int64)
-    return block, sigs[probing].tolist(), sigs[~probing].tolist()
+    return int(sigs[-1]), sigs[probing].tolist(), sigs[~probing].tolist()
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +314,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if b - a < met["need"][a] // 2 or not (found := _judge_node(met[a:b])):
                 continue
             if out and out[-1][4] == int(met["node"][a]):
-                # The next channel of a node: it stays in the block of the lower one, which smaller partners share.
+                # The next channel of a node: it keeps the home of the lower one, which smaller partners share.
                 out[-1][7] += found[1]
                 out[-1][8] += found[2]
                 continue
@@ -378,6 +376,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def similar_links(keyed: DataFrame, surveyed: DataFrame) -> DataFrame:
     """Links (a, b: doc ids) that span the groups of similar sets. Nodes stand for the smallest document that has them."""
     own, nodes = surveyed.where("kind = 0 and doc_id is not null and n > 0"), surveyed.where("kind = 1")
+    # Nodes of one home are a block; where they are many, several.
+    full = nodes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("spread")).where("spread > 1")
+    part = F.pmod(F.xxhash64("h1"), F.coalesce("spread", F.lit(1)))
+    nodes = stage(nodes.join(full, "home", "left").select("h1", "probes", "others", F.xxhash64("home", part).alias("block")), "nodes")
     first = own.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "key")).alias("first"))
     wanted = nodes.select("h1", "block").join(first, "h1").select(F.col("first.doc_id").alias("own_id"), F.col("first.key").alias("own_key"), "block").distinct()
     members = keyed.join(wanted.hint("shuffle_hash"), F.expr("doc_id = own_id and key = own_key"))
