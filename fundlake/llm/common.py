@@ -65,6 +65,16 @@ def rows_of(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
     return zip(*(batch.column(name).to_pylist() for name in names), strict=True)
 
 
+def first_by_hash(df: DataFrame, rows: int, total: int, *columns: str) -> DataFrame:
+    """The first ``rows`` of ``total`` rows in the order of a hash of ``columns``; the same ones at any partitioning.
+
+    All but about twice as many are left out where they are read, so that tasks do not each send ``rows`` of them.
+    """
+    order, steps = F.xxhash64(*columns), 1 << 30
+    share = min(steps, -(-(2 * rows + 100) * steps // max(1, total)))
+    return df.where(F.pmod(order, F.lit(steps)) < share).orderBy(order, *columns).limit(rows)
+
+
 def buckets_for(rows: int, per_bucket: int) -> int:
     """Number of buckets that hold ``per_bucket`` rows on average."""
     return max(1, -(-rows // per_bucket))

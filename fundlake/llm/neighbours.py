@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import read, stage
+from fundlake.llm.common import first_by_hash, read, stage
 
 #: Vectors the graph and the network are made from (in the order of a hash of the id), and vectors per part and block.
 SAMPLE, PART, BLOCK = 9_000, 1_500, 2_000
@@ -197,8 +197,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
     """
     base, asked = stage(usable(vectors), "vectors"), usable(queries)
     spark = base.sparkSession
-    sample = base.orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(SAMPLE).toPandas()
     rows = base.count()
+    sample = first_by_hash(base, SAMPLE, rows, "vec_id", "embedding").toPandas()
     sample = sample.drop_duplicates("vec_id")
     matrix = np.array(sample["embedding"].tolist(), dtype=np.float32)
     index = spark.sparkContext.broadcast(learn(matrix.astype(np.float64), rows, k, recall))

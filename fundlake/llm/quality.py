@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import read, rows_of, stage
+from fundlake.llm.common import first_by_hash, read, rows_of, stage
 
 TRAINING_ROWS = 20_000
 FEATURES = (
@@ -206,7 +206,7 @@ def train(features: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     known = (
         labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("label"))
     ).where(~held_out())
-    sample = features.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(rows)
+    sample = first_by_hash(features.join(known, "doc_id"), rows, known.count(), "doc_id", *FEATURES)
     got = sample.select("label", *FEATURES).toPandas().to_numpy(dtype=np.float64).reshape(-1, 1 + len(FEATURES))
     return fit(got[:, 1:], got[:, 0])
 
