@@ -2,7 +2,9 @@
 
 Every language has a raw-content dictionary for zstandard: texts of that language, from labelled rows. A text is
 compressed with each dictionary, block by block, and belongs to the language whose dictionary makes it smallest. Where
-the smallest and the next are close, the text is rejected: ``lang`` is ``und`` and only ``lang_pred`` has the best guess.
+the smallest and the next are close, it is compressed harder and with several dictionaries of each language, whose sizes
+are added up. Where they still are close, the text is rejected: ``lang`` is ``und`` and only ``lang_pred`` has the best
+guess.
 """
 
 from __future__ import annotations
@@ -20,11 +22,13 @@ from pyspark.sql import functions as F
 from fundlake.llm.common import read, rows_of
 from fundlake.llm.quality import held_out
 
-#: Per language: at most this many labelled rows of at most so many characters, up to so many bytes of dictionary.
-SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 200, 4_000, 96 * 1024
+#: Per language: at most this many labelled rows of at most so many characters, dealt to so many dictionaries of at most
+#: so many bytes.
+SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARIES, DICTIONARY_BYTES = 400, 4_000, 3, 96 * 1024
 #: Texts are compressed in blocks of this many bytes, so that the dictionary and not the text's own start decides.
 BLOCK = 2048
-LEVEL = 5
+#: Compression levels of the first and the second look, and the margin under which there is a second one.
+LEVEL, SECOND_LEVEL, SECOND_LOOK = 5, 12, 0.15
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -41,34 +45,37 @@ def learn(docs: DataFrame) -> dict[str, list[bytes]]:
     texts: dict[str, list[str]] = {}
     for row in sample.select("lang", "n", "text").orderBy("lang", "n").collect():
         texts.setdefault(row["lang"], []).append(letters(row["text"]))
-    return {lang: [content] for lang, parts in texts.items() if (content := " ".join(parts).encode()[-DICTIONARY_BYTES:])}
+    dealt = {
+        lang: [" ".join(parts[k::DICTIONARIES]).encode()[-DICTIONARY_BYTES:] for k in range(DICTIONARIES)] for lang, parts in texts.items()
+    }
+    return {lang: filled for lang, contents in dealt.items() if (filled := [c for c in contents if c.strip()])}
 
 
 class Compressors:
-    """One compressor per dictionary; sizes of a text under each language."""
+    """One compressor per dictionary; sizes of a text under each language, a mean over its dictionaries."""
 
-    def __init__(self, contents: dict[str, list[bytes]]):
+    def __init__(self, contents: dict[str, list[bytes]], level: int = LEVEL):
         self.langs = sorted(contents)
         self._by_lang = []
         for lang in self.langs:
             own = []
             for content in contents[lang]:
                 data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                data.precompute_compress(level=LEVEL)
+                data.precompute_compress(level=level)
                 own.append(
                     zstandard.ZstdCompressor(
-                        level=LEVEL, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False
+                        level=level, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False
                     ).compress
                 )
             self._by_lang.append(own)
 
-    def sizes(self, text: str) -> list[int]:
+    def sizes(self, text: str) -> list[float]:
         data = text.encode()
         blocks = [data[at : at + BLOCK] for at in range(0, len(data), BLOCK)]
-        return [sum(len(compress(block)) for compress in own for block in blocks) for own in self._by_lang]
+        return [sum(len(compress(block)) for compress in own for block in blocks) / len(own) for own in self._by_lang]
 
 
-def decide(langs: list[str], sizes: list[int], temper: float = 2.0) -> tuple[str, float, float]:
+def decide(langs: list[str], sizes: list[float], temper: float = 2.0) -> tuple[str, float, float]:
     """Language of the smallest size (ties: the first by name), a score of 0 to 1, and the margin to the next size in
     parts of it."""
     best = min(range(len(sizes)), key=lambda k: (sizes[k], langs[k]))
@@ -87,12 +94,18 @@ def identify(docs: DataFrame, contents: dict[str, list[bytes]], narrow: float =
     shared = docs.sparkSession.sparkContext.broadcast(contents)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = Compressors(shared.value)
+        first = Compressors({lang: own[:1] for lang, own in shared.value.items()})
+        second = Compressors(shared.value, SECOND_LEVEL)
+
+        def look(words: str) -> tuple[str, float, float]:
+            found = decide(first.langs, first.sizes(words))
+            return found if found[2] >= SECOND_LOOK else decide(second.langs, second.sizes(words))
+
         for batch in batches:
             found = []
             for (text,) in rows_of(batch, "text"):
                 words = letters(text or "")
-                found.append(decide(compressors.langs, compressors.sizes(words)) if words and compressors.langs else ("und", 0.0, 0.0))
+                found.append(look(words) if words and first.langs else ("und", 0.0, 0.0))
             langs, scores, margins = zip(*found, strict=True) if found else ((), (), ())
             kept = [lang if margin >= narrow else "und" for lang, margin in zip(langs, margins, strict=True)]
             columns = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(kept, pa.string()), pa.array(margins, pa.float64())]
