@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import buckets_for, read, rows_of
+from fundlake.llm.common import buckets_for, first_by_hash, read, rows_of
 from fundlake.session import work_dir
 
 # Fixed values of the formats.
@@ -60,12 +60,11 @@ def with_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     total = digested.agg(F.sum("size")).first()[0] or 0
     keys = digested.select("page_id", "digest", "size").where(F.col("size") >= least)
     groups = keys.groupBy("digest", "size").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    revisits = (
-        keys.join(groups, ["digest", "size"]).where("not page_id <=> refers_to").select("page_id", "digest", "refers_to").distinct()
-    ).withColumnsRenamed({"page_id": "own_id", "digest": "own_digest"})
-    dealt = digested.repartition(buckets_for(total, ARCHIVE_BYTES), "page_id", "digest")
-    same = F.expr("page_id <=> own_id and digest = own_digest")
-    return dealt.join(revisits.hint("shuffle_hash"), same, "left").drop("own_id", "own_digest")
+    # A key without nulls, so that the join finds the pages where they were dealt and moves them once.
+    key = F.concat_ws(" ", "page_id", "digest")
+    revisits = keys.join(groups, ["digest", "size"]).where("not page_id <=> refers_to").select(key.alias("key"), "refers_to").distinct()
+    dealt = digested.withColumn("key", key).repartition(buckets_for(total, ARCHIVE_BYTES), "key")
+    return dealt.join(revisits.hint("shuffle_hash"), "key", "left").drop("key")
 
 
 def _record(page_id: int | None, url: str | None, html: str, digest: str, refers_to: int | None) -> bytes:
@@ -102,9 +101,10 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> str:
     A null html is an empty payload; a null url leaves the header out. An empty table leaves a folder without records.
     """
     spark = pages.sparkSession
-    sample = (
-        pages.where(F.length("html") <= SAMPLE_CHARS).orderBy(F.xxhash64("page_id", "url"), "page_id", "html").limit(SAMPLE_RECORDS)
-    ).select("page_id", "url", "html", base32_sha1("html").alias("digest"))
+    short = pages.where(F.length("html") <= SAMPLE_CHARS)
+    sample = first_by_hash(short, SAMPLE_RECORDS, short.count(), "page_id", "url", "html").select(
+        "page_id", "url", "html", base32_sha1("html").alias("digest")
+    )
     shared = spark.sparkContext.broadcast(
         train_dictionary([_record(r["page_id"], r["url"], r["html"], r["digest"], None) for r in sample.collect()])
     )
