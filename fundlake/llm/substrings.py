@@ -19,7 +19,7 @@ from fundlake.llm.common import read, rows_of, stage
 
 WINDOW = 50
 #: Words in the runs that minimisers are taken from.
-RUN = 8
+RUN = 4
 #: Windows that travel in one string at most.
 TOGETHER = 400
 
