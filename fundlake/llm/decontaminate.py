@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.llm.common import buckets_for, read, rows_of
-from fundlake.llm.substrings import _PLACES, _U, _mix
+from fundlake.llm.hashing import PLACES, U64, mix
 
 Q = 8
 #: Edits allowed for each character of a passage.
@@ -39,10 +39,10 @@ def _codes(text: str) -> np.ndarray:
 def _grams(codes: np.ndarray) -> np.ndarray:
     """Hash of the run of Q characters that starts at each place."""
     count = max(0, len(codes) - Q + 1)
-    wide, out = codes.astype(_U), np.zeros(count, _U)
+    wide, out = codes.astype(U64), np.zeros(count, U64)
     for k in range(Q):
-        out += wide[k : k + count] * _PLACES[k]
-    return _mix(out)
+        out += wide[k : k + count] * PLACES[k]
+    return mix(out)
 
 
 class Passages:
@@ -58,19 +58,19 @@ class Passages:
         self.least = sizes + 1 - Q - Q * self.edits
         self.longest = int((sizes + 2 * self.edits).max(initial=0))
         grams = [_grams(c) for c in self.codes]
-        every = np.concatenate([*grams, np.empty(0, _U)])
+        every = np.concatenate([*grams, np.empty(0, U64)])
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([*(np.arange(len(g)) for g in grams), np.empty(0, np.int64)])
         order = np.argsort(every, kind="stable")
         self.grams, first = np.unique(every[order], return_index=True)
         self.first, self.item, self.place = np.append(first, len(every)), item[order], place[order]
         self.maybe = np.zeros(1 << _FILTER_BITS, bool)
-        self.maybe[(self.grams >> _U(64 - _FILTER_BITS)).astype(np.int64)] = True
+        self.maybe[(self.grams >> U64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
     def regions(self, codes: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Passage, first and last diagonal of every band of ``codes`` with enough shared runs."""
         hashes = _grams(codes)
-        at = np.flatnonzero(self.maybe[(hashes >> _U(64 - _FILTER_BITS)).astype(np.int64)])
+        at = np.flatnonzero(self.maybe[(hashes >> U64(64 - _FILTER_BITS)).astype(np.int64)])
         found = np.searchsorted(self.grams, hashes[at])
         found[found == len(self.grams)] = 0
         known = self.grams[found] == hashes[at] if len(self.grams) else np.empty(0, bool)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from fundlake.llm.common import buckets_for, read, rows_of, stage
 from fundlake.llm.components import components
-from fundlake.llm.substrings import _PLACES, _U, _mix, word_hashes
+from fundlake.llm.hashing import PLACES, U64, mix, word_hashes
 
 WORDS = 5
 #: Signatures that meet in one bucket on average, and bytes of text that give one signature.
@@ -51,14 +51,14 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     words are what stands between spaces and the control characters 9 to 13. Shingles are 64-bit hashes from here on."""
     joined = b" ".join(text.encode().lower().split())
     if not joined:
-        return np.empty(0, _U)
+        return np.empty(0, U64)
     hashes = word_hashes(joined)[2]
     length = min(words, len(hashes))
     count = len(hashes) - length + 1
-    runs = np.full(count, length, _U)
+    runs = np.full(count, length, U64)
     for k in range(length):
-        runs += hashes[k : k + count] * _PLACES[k]
-    return np.unique(_mix(runs))
+        runs += hashes[k : k + count] * PLACES[k]
+    return np.unique(mix(runs))
 
 
 def channels(size: int) -> list[int]:
@@ -127,26 +127,26 @@ def signatures(own: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
         if not segments:
             weak = True
             continue
-        mixed = _mix(own + _U(channel * 2 + 1))
-        segment = (mixed >> _U(20)) % _U(segments)
+        mixed = mix(own + U64(channel * 2 + 1))
+        segment = (mixed >> U64(20)) % U64(segments)
         order = np.argsort(segment, kind="stable")
         segment, mixed = segment[order], mixed[order]
         first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
         count = np.diff(np.append(first, size))
         total, number = np.add.reduceat(mixed, first), segment[first]
-        salt = _mix(number + _U((channel + 1) << 40))
-        sigs, tags = [_mix(total ^ salt)], [np.where(number < deleted, number * _U(2) + _U(2) + (count > 1).astype(_U), _U(0))]
+        salt = mix(number + U64((channel + 1) << 40))
+        sigs, tags = [mix(total ^ salt)], [np.where(number < deleted, number * U64(2) + U64(2) + (count > 1).astype(U64), U64(0))]
         base = np.uint16(channel << 8)
         if deleted:
             inside = np.repeat((number < deleted) & (count > 1), count)
-            sigs.append(_mix((np.repeat(total, count) - mixed)[inside] ^ np.repeat(salt, count)[inside]))
-            tags.append((segment * _U(2) + _U(3))[inside])
+            sigs.append(mix((np.repeat(total, count) - mixed)[inside] ^ np.repeat(salt, count)[inside]))
+            tags.append((segment * U64(2) + U64(3))[inside])
         need = int(np.where((number < deleted) & (count > 1), 2, 1).sum()) - most
         weak |= need <= 0
         yield channel, need, np.concatenate(sigs), np.concatenate(tags).astype(np.uint16) + base
     if weak:
         most = max(budget(size, channel) for channel in channels(size))
-        yield SINGLES, size - most, _mix(own + _U(0x5851F42D4C957F2D)), np.full(size, SINGLES << 8, np.uint16)
+        yield SINGLES, size - most, mix(own + U64(0x5851F42D4C957F2D)), np.full(size, SINGLES << 8, np.uint16)
 
 
 PACKED = "bucket long, kind int, head binary, body binary"
@@ -183,8 +183,8 @@ def _send(buckets: int):
             if not parts:
                 continue
             sigs, items = (np.concatenate(x) for x in zip(*parts, strict=True))
-            items["low"], items["high"] = sigs & _U(0xFFFFFFFF), (sigs >> _U(32)) & _U(0xFFFF)
-            bucket = (sigs >> _U(16)) % _U(buckets)
+            items["low"], items["high"] = sigs & U64(0xFFFFFFFF), (sigs >> U64(32)) & U64(0xFFFF)
+            bucket = (sigs >> U64(16)) % U64(buckets)
             order = np.argsort(bucket, kind="stable")
             items, bucket = items[order], bucket[order]
             rows = [
@@ -207,7 +207,7 @@ def _arrive(bucket: int, body: bytes) -> np.ndarray:
     met = np.zeros(len(items), MET)
     for name in ("node", "need", "tag"):
         met[name] = items[name]
-    met["sig"] = _mix((items["low"] | items["high"].astype(_U) << _U(32)) ^ _U(bucket * 0x9E3779B97F4A7C15 % (1 << 64)))
+    met["sig"] = mix((items["low"] | items["high"].astype(U64) << U64(32)) ^ U64(bucket * 0x9E3779B97F4A7C15 % (1 << 64)))
     return met
 
 
@@ -239,7 +239,7 @@ def _meet(parts: int):
     a bucket holds two rows per signature at most, however many nodes have it."""
 
     def deal(new: np.ndarray) -> Iterator[pa.RecordBatch]:
-        to = (new["node"].astype(_U) >> _U(9)) % _U(parts)
+        to = (new["node"].astype(U64) >> U64(9)) % U64(parts)
         order = np.argsort(to, kind="stable")
         new, to = new[order], to[order]
         for first, count in zip(*(x.tolist() for x in _runs(to)), strict=True):
@@ -362,7 +362,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, side, doc_id, values in members:
             split += side.as_py() == 0
             ids.append(doc_id.as_py())
-            sets.append(np.frombuffer(values.as_py(), _U))
+            sets.append(np.frombuffer(values.as_py(), U64))
         links = similar(ids, sets, split if split < len(sets) else 0)
         yield pa.RecordBatch.from_arrays([pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.llm.common import read, rows_of, stage
+from fundlake.llm.hashing import PLACES, U64, mix, word_hashes
 
 WINDOW = 50
 #: Words in the runs that minimisers are taken from.
@@ -23,36 +24,14 @@ RUN = 4
 #: Windows that travel in one string at most.
 TOGETHER = 400
 
-_U = np.uint64
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Scatter 64-bit numbers (a finaliser of shifts and odd multipliers)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-_BYTES = _mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
-_PLACES = _mix(np.arange(1, 65, dtype=_U) * _U(0xD1342543DE82EF95)) | _U(1)
-
-
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, end and hash of each word of ``data``, words being separated by single spaces."""
-    codes = np.frombuffer(data + b" ", np.uint8)
-    end = np.flatnonzero(codes == 32)
-    first = np.concatenate([[0], end[:-1] + 1])
-    place = np.arange(len(codes)) - np.repeat(first, end + 1 - first)
-    return first, end, _mix(np.add.reduceat(_BYTES[codes] * _PLACES[place & 63], first))
-
 
 def minimisers(hashes: np.ndarray, window: int, run: int) -> np.ndarray:
     """Smallest hash of ``run`` words in each window of ``window`` words."""
     count = len(hashes) - run + 1
-    runs = np.zeros(count, _U)
+    runs = np.zeros(count, U64)
     for k in range(run):
-        runs += hashes[k : k + count] * _PLACES[k]
-    least, width, span = _mix(runs), 1, window - run + 1
+        runs += hashes[k : k + count] * PLACES[k]
+    least, width, span = mix(runs), 1, window - run + 1
     while width < span:
         step = min(width, span - width)
         least = np.minimum(least[:-step], least[step:])

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 
 from fundlake.llm import substrings
-from fundlake.llm.substrings import minimisers, remove_repeated, super_kmers, word_hashes
+from fundlake.llm.hashing import word_hashes
+from fundlake.llm.substrings import minimisers, remove_repeated, super_kmers
 
 
 def brute_force(docs, window):
