@@ -60,11 +60,14 @@ def with_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     total = digested.agg(F.sum("size")).first()[0] or 0
     keys = digested.select("page_id", "digest", "size").where(F.col("size") >= least)
     groups = keys.groupBy("digest", "size").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    # A key without nulls, and both sides dealt by it into as many parts, so that the join moves the pages once.
+    # A key without nulls, so that the join alone moves the pages. It deals them to as many archives as the session shuffles
+    # to, or more if that would make them too large; fewer are put together by size while it runs.
     key, archives = F.concat_ws(" ", "page_id", "digest"), buckets_for(total, ARCHIVE_BYTES)
     revisits = keys.join(groups, ["digest", "size"]).where("not page_id <=> refers_to").select(key.alias("key"), "refers_to").distinct()
-    dealt = digested.withColumn("key", key).repartition(archives, "key")
-    return dealt.join(revisits.repartition(archives, "key").hint("shuffle_hash"), "key", "left").drop("key")
+    dealt = digested.withColumn("key", key)
+    if archives > int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        dealt, revisits = dealt.repartition(archives, "key"), revisits.repartition(archives, "key")
+    return dealt.join(revisits.hint("shuffle_hash"), "key", "left").drop("key")
 
 
 def _record(page_id: int | None, url: str | None, html: str, digest: str, refers_to: int | None) -> bytes:
