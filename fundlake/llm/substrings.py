@@ -4,11 +4,16 @@ A window is ``window`` consecutive words of one document. Its minimiser is the s
 ``RUN`` words inside it; equal windows have equal minimisers. Neighbouring windows mostly share their minimiser, so they
 travel as one packed string (a super-k-mer) to the minimiser's bucket. A bucket is sorted by minimiser and document, so
 that the first document that shows a window is the smallest that has it, and the words themselves are compared.
+
+A run of words that many documents have, such as a short line around which the texts differ, is the minimiser of countless
+different windows. Windows are counted per minimiser first, and those of a minimiser that has more than ``CROWD`` travel one
+by one, keyed and compared by a 128-bit digest of their words, so that they spread and only equal ones meet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +25,11 @@ from fundlake.llm.hashing import PLACES, U64, mix, word_hashes
 
 WINDOW = 50
 #: Words in the runs that minimisers are taken from.
-RUN = 4
+RUN = 8
 #: Windows that travel in one string at most.
 TOGETHER = 400
+#: Windows of one minimiser that are held together at most, and rows of a batch that is sent.
+CROWD, ROWS_SENT = 50_000, 50_000
 
 
 def minimisers(hashes: np.ndarray, window: int, run: int) -> np.ndarray:
@@ -62,6 +69,37 @@ def _ranges(flags: list[bool]) -> Iterator[tuple[int, int]]:
             start = None
 
 
+def _windows(packed: bytes, count: int, window: int) -> list[bytes]:
+    ends = [k for k, c in enumerate(packed) if c == 32] + [len(packed)]
+    starts = [0, *(e + 1 for e in ends)]
+    return [packed[starts[k] : ends[k + window - 1]] for k in range(count)]
+
+
+def _unmarked(batch: pa.RecordBatch, window: int) -> Iterator[tuple[int, int, int, int, int, bytes, bool]]:
+    """Minimiser, doc_id, key, first window, number, packed words of a batch's super-k-mers, and whether a smaller document
+    of the batch has the same one."""
+    first: dict[bytes, int] = {}
+    for doc, key, text in sorted(rows_of(batch, "doc_id", "key", "text"), key=lambda row: row[:2]):
+        for minimiser, at, count, packed in super_kmers(b" ".join(text.encode().split()), window):
+            yield minimiser, doc, key, at, count, packed, first.setdefault(packed, doc) < doc
+
+
+def crowded(source: DataFrame, window: int) -> list[int]:
+    """Minimisers that more than ``CROWD`` windows to be sent have; at most one in ``CROWD`` windows' number."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[int, int] = {}
+            for minimiser, _, _, _, n, _, known in _unmarked(batch, window):
+                if not known:
+                    found[minimiser] = found.get(minimiser, 0) + n
+            columns = [pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["minimiser", "n"])
+
+    counts = source.mapInArrow(count, "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n"))
+    return [row[0] for row in counts.where(F.col("n") > CROWD).select("minimiser").collect()]
+
+
 def _marks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[int, int, int, int]]:
     """doc_id, text key, first word and end of the passages that a smaller document has.
 
@@ -72,9 +110,7 @@ def _marks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[int
 
     def judge(row: tuple) -> Iterator[tuple[int, int, int, int]]:
         doc, key, at, count, packed = row
-        ends = [k for k, c in enumerate(packed) if c == 32] + [len(packed)]
-        starts = [0, *(e + 1 for e in ends)]
-        flags = [seen.setdefault(packed[starts[k] : ends[k + window - 1]], doc) < doc for k in range(count)]
+        flags = [seen.setdefault(own, doc) < doc for own in ([packed] if count == 1 else _windows(packed, count, window))]
         for a, b in _ranges(flags):
             yield doc, key, at + a, at + b - 1 + window
 
@@ -97,6 +133,42 @@ def _marks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[int
         current = minimiser[-1]
 
 
+def sent_windows(source: DataFrame, window: int) -> DataFrame:
+    """Super-k-mers of ``source`` (doc_id, key and text, none null) with the key of their bucket; ``packed`` is null where a
+    smaller document is already known to have the windows."""
+    shared = source.sparkSession.sparkContext.broadcast(frozenset(crowded(source, window)))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            columns = zip(*rows, strict=True) if rows else ((),) * 6
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], ["minimiser", "doc_id", "key", "at", "n", "packed"]
+            )
+
+        crowd = shared.value
+        for batch in batches:
+            found, first = [], {}
+            for minimiser, doc, key, at, count, packed, known in _unmarked(batch, window):
+                if known or minimiser not in crowd:
+                    found.append((minimiser, doc, key, at, count, None if known else packed))
+                    continue
+                digests = [blake2b(own, digest_size=16).digest() for own in _windows(packed, count, window)]
+                flags = [first.setdefault(digest, doc) < doc for digest in digests]
+                found += [(minimiser, doc, key, at + a, b - a, None) for a, b in _ranges(flags)]
+                # No window begins with a space, so a digest never equals words.
+                found += [
+                    (int.from_bytes(digest[:8], "little", signed=True), doc, key, at + k, 1, b" " + digest)
+                    for k, (digest, flag) in enumerate(zip(digests, flags, strict=True)) if not flag
+                ]
+                if len(found) >= ROWS_SENT:
+                    yield table(found)
+                    found = []
+            yield table(found)
+
+    return source.mapInArrow(send, "minimiser long, doc_id long, key long, at int, n int, packed binary")
+
+
 def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, key and ``passages`` (array of first word and end) for documents with words to remove.
 
@@ -104,19 +176,6 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     document has is marked at once and not sent, so of a text with countless copies each reading task sends few.
     """
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, first = [], {}
-            for doc, key, text in sorted(rows_of(batch, "doc_id", "key", "text"), key=lambda row: row[:2]):
-                for minimiser, at, count, packed in super_kmers(b" ".join(text.encode().split()), window):
-                    known = first.setdefault(packed, doc) < doc
-                    found.append((minimiser, doc, key, at, count, None if known else packed))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            columns = zip(*found, strict=True) if found else ((),) * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], ["minimiser", "doc_id", "key", "at", "n", "packed"]
-            )
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         local: list[tuple[int, int, int, int]] = []
 
@@ -145,7 +204,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         yield table(rows + local)
 
     source = docs.where("doc_id is not null and text is not null").select("doc_id", "key", "text")
-    sent = source.mapInArrow(send, "minimiser long, doc_id long, key long, at int, n int, packed binary")
+    sent = sent_windows(source, window)
     # What is already decided goes anywhere, not to the bucket that many copies share.
     spread = F.when(F.col("packed").isNull(), F.xxhash64("doc_id", "at")).otherwise(F.col("minimiser"))
     bucketed = sent.withColumn("minimiser", spread).repartition("minimiser").sortWithinPartitions("minimiser", "doc_id")

@@ -73,6 +73,20 @@ def test_sorted_buckets_over_many_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_windows_around_a_common_line_spread(spark, monkeypatch):
+    pick = random.Random(9)
+    line = prose(pick, 30)
+    docs = [(n, f"{prose(pick, 60)} {line} {prose(pick, 60)}") for n in range(60)]
+    docs += [(100 + n, docs[n][1] if n % 2 else "x " + docs[n][1]) for n in range(40)] + [(101, docs[0][1]), (None, line * 3)]
+    monkeypatch.setattr(substrings, "CROWD", 100)
+    compare(spark, docs)
+    source = spark.createDataFrame(docs[:60], "doc_id long, text string").selectExpr("doc_id", "0L key", "text")
+    groups = substrings.sent_windows(source, 50).where("packed is not null").groupBy("minimiser").agg({"n": "sum"}).collect()
+    assert sum(n for _, n in groups) == 60 * 101 and max(n for _, n in groups) <= 100
+    monkeypatch.setattr(substrings, "CROWD", 10**9)
+    assert max(n for _, n in substrings.sent_windows(source, 50).groupBy("minimiser").agg({"n": "sum"}).collect()) > 1000
+
+
 def test_minimisers_and_packed_strings(monkeypatch):
     pick = random.Random(5)
     words = prose(pick, 500).encode()
