@@ -3,7 +3,8 @@
 The DOM trees of a host's pages are merged: elements that stand at the same path of tags, classes and ids are one node
 of the tree. A node's presentation is important if its pages lay out its children in different ways, its content if the
 pages have different texts there; both are entropies over the pages that have the node. A page then drops the branches
-whose combined importance is low, beside elements that are menus, footers and the like by their tag, role or class name.
+in which every node's combined importance is low, beside elements that are menus, footers and the like by their tag, role
+or class name.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from fundlake.llm.common import read, rows_of, stage
 
-#: Branches of less importance go; nodes of fewer pages than ``PAGES`` prove nothing. ``FADE`` weighs a branch's own
+#: Branches without a node of this importance go; nodes of fewer pages than ``PAGES`` prove nothing. ``FADE`` weighs a branch's own
 #: layout against what it holds, as in the published measure.
 LEAST, PAGES, FADE = 0.2, 8, 0.9
 
@@ -174,9 +175,24 @@ def importance(node: Node, layouts: dict[int, float], contents: dict[int, float]
     return found
 
 
+def greatest(node: Node, weight: dict[int, float]) -> dict[int, float]:
+    """Greatest importance in the branch of every element below ``node``, by its identity. What holds no text has none."""
+    order, todo = [], [node]
+    while todo:
+        order.append(at := todo.pop())
+        todo += [c for c in at.children() if not c.dropped]
+    found: dict[int, float] = {}
+    for at in reversed(order):
+        below = [found[id(c)] for c in at.children() if not c.dropped]
+        texts = any(isinstance(x, str) and not x.isspace() for x in at.held)
+        found[id(at)] = max([*below, weight[id(at)] if texts or any(below) else 0.0])
+    return found
+
+
 def main_text(root: Node, layouts: dict[int, float], contents: dict[int, float], least: float = LEAST) -> str:
     """Texts of the blocks that stay, in page order, one a line."""
     weight = importance(root, layouts, contents)
+    branch = greatest(root, weight)
     lines, run = [], []
 
     def close() -> None:
@@ -195,8 +211,10 @@ def main_text(root: Node, layouts: dict[int, float], contents: dict[int, float],
             continue
         else:
             close()
-            if not at.dropped and weight[id(at)] >= least:
-                todo += [None, *reversed(at.held)]
+            if not at.dropped and branch[id(at)] >= least:
+                # Below a low element that holds something important, its own texts count by themselves.
+                own = max(weight[id(at)], contents.get(_signed(at.path), 1.0)) >= least
+                todo += [None, *(x for x in reversed(at.held) if own or isinstance(x, Node))]
     close()
     return "\n".join(lines)
 

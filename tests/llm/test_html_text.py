@@ -70,3 +70,14 @@ def test_hosts(spark):
     urls = ["http://A.b/c", "https://u:p@x.example:80?q", "//y.z", "mailto:a@b", "", None]
     df = spark.createDataFrame([(u,) for u in urls], "url string")
     assert [r[0] for r in df.select(host_of()).collect()] == ["a.b", "x.example", "y.z", "", "", ""]
+
+
+def texts_of(spark, rows):
+    return [r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_important_text_below_low_nodes_stays(spark):
+    fixed = "".join(f"<div class={name}><p>Always {name}</p></div>" for name in ("logo", "tagline", "copyright", "imprint", "partners"))
+    wide = [(n, "//wide/", f"<html><body>{fixed}<div class=content><p>Story {n}</p></div></body></html>") for n in range(20)]
+    deep = [(n, "//deep/", f"{'<div>' * 20}<p>Story {n}</p>{'</div>' * 20}") for n in range(20, 40)]
+    assert texts_of(spark, wide + deep) == [f"Story {n}" for n in range(40)]
