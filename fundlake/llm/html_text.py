@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import html
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -223,23 +225,36 @@ def host_of(url: str = "url") -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), "^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def style_trees(pages: DataFrame, most: float = 0.9) -> DataFrame:
+def style_trees(pages: DataFrame, most: float = 0.9, copies: bool = True) -> DataFrame:
     """A row per host: its nodes that at least ``PAGES`` pages have and whose importance of a kind is under ``most``.
+    Without ``copies``, pages of a host with the same html (by 128 bits) count once.
 
     Rows are counted before they meet, so a host with a third of all pages is no more work than its different texts.
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                (host, *row) for host, text in rows_of(batch, "host", "html") for row in set(tree_rows(parse(text)))
-            ]
-            columns = zip(*rows, strict=True) if rows else ((),) * 4
-            kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "path", "kind", "value"])
-
-    rows = pages.select("host", "html").mapInArrow(add, "host string, path long, kind int, value long")
-    values = rows.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
+            known: set[tuple[str, bytes]] = set()
+            keys: tuple[list, list, list] = ([], [], [0])
+            columns = array("q"), array("i"), array("q")
+            for host, text in rows_of(batch, "host", "html"):
+                page = (host, xxhash.xxh3_128_digest(text.encode()))
+                if not copies and page in known:
+                    continue
+                known.add(page)
+                for row in set(tree_rows(parse(text))):
+                    for column, x in zip(columns, row, strict=True):
+                        column.append(x)
+                for column, x in zip(keys, (*page, len(columns[0])), strict=True):
+                    column.append(x)
+            flat = [pa.array(np.asarray(c)) for c in columns]
+            rows = pa.ListArray.from_arrays(pa.array(keys[2], pa.int32()), pa.StructArray.from_arrays(flat, ["path", "kind", "value"]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[0], pa.string()), pa.array(keys[1], pa.binary()), rows], ["host", "page", "rows"])
+
+    trees = pages.select("host", "html").mapInArrow(add, "host string, page binary, rows array<struct<path long, kind int, value long>>")
+    if not copies:
+        trees = trees.dropDuplicates(["host", "page"])
+    values = trees.select("host", F.inline("rows")).groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
     # Kind 0 has a row for every page and node, so its sum is the number of pages that have the node.
     nodes = values.groupBy("host", "path").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
@@ -260,10 +275,11 @@ def style_trees(pages: DataFrame, most: float = 0.9) -> DataFrame:
 def extract(pages: DataFrame, least: float = LEAST) -> DataFrame:
     """page_id, url, text and n_chars of every page (page_id, url, html).
 
-    A null html is an empty page; a null or odd url belongs to the host "". Rows repeat as in ``pages``.
+    A null html is an empty page; a null or odd url belongs to the host "". Rows repeat as in ``pages``; what a host repeats
+    is learned from its different pages, so copies change no text.
     """
     hosted = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of().alias("host"))
-    trees = stage(style_trees(hosted), "trees").withColumnRenamed("host", "own_host")
+    trees = stage(style_trees(hosted, copies=False), "trees").withColumnRenamed("host", "own_host")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[dict, dict]] = {}

@@ -81,3 +81,12 @@ def test_important_text_below_low_nodes_stays(spark):
     wide = [(n, "//wide/", f"<html><body>{fixed}<div class=content><p>Story {n}</p></div></body></html>") for n in range(20)]
     deep = [(n, "//deep/", f"{'<div>' * 20}<p>Story {n}</p>{'</div>' * 20}") for n in range(20, 40)]
     assert texts_of(spark, wide + deep) == [f"Story {n}" for n in range(40)]
+
+
+def test_copies_of_pages_prove_nothing(spark):
+    page = "<html><body><article><p>Story {0} of five</p></article></body></html>"
+    few = [(n, "//few/", page.format(n % 5)) for n in range(200)] + [(n, None, page.format(7)) for n in range(200, 220)]
+    assert texts_of(spark, few) == [f"Story {n % 5} of five" for n in range(200)] + ["Story 7 of five"] * 20
+    rows = site("a.example", 30, 0)
+    copied = rows + [(100 + n, *rows[3][1:]) for n in range(300)]
+    assert texts_of(spark, copied)[:30] == texts_of(spark, rows)
