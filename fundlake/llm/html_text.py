@@ -55,6 +55,11 @@ NAMES = re.compile(
     re.IGNORECASE,
 )
 
+#: Names of a wrapper that say what it has or how it stands, not what it is.
+STATES = re.compile(
+    r"^(?:has|have|no|not|non|with|without)[-_]|[-_](?:open|opened|closed|layout|enabled|disabled|on|off)$", re.IGNORECASE
+)
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*(?:>|$)|[^<]+|<", re.DOTALL)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.IGNORECASE)
@@ -63,11 +68,12 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^
 @dataclass
 class Node:
     """An element: its place among the host's pages, what it holds in page order (texts and elements), and whether its
-    tag or name says that it is no content."""
+    tag or name says that it is no content; ``unsure`` if that is no proof where it holds what the page is about."""
 
     tag: str
     path: int
     dropped: bool = False
+    unsure: bool = False
     held: list = field(default_factory=list)
 
     def children(self) -> list[Node]:
@@ -81,7 +87,7 @@ def _attributes(tag: str) -> dict[str, str]:
 def parse(page: str) -> Node:
     """The block elements of a page. Inline elements are part of the text around them, unless they are no content."""
     root = Node("", xxhash.xxh3_64_intdigest(b""))
-    stack, at, inside = [root], 0, 0
+    stack, at, inside, unsure = [root], 0, 0, False
     while found := _TOKEN.match(page, at):
         token, at = found[0], found.end()
         if token[0] != "<" or len(token) == 1:
@@ -111,6 +117,7 @@ def parse(page: str) -> Node:
             stack[-1].held.append(" " if tag == "br" else "")
             continue
         node = _node(stack[-1], tag, attributes, inside)
+        unsure = unsure or node.unsure
         if tag in INLINE and not node.dropped:
             continue
         stack[-1].held.append(node)
@@ -120,18 +127,48 @@ def parse(page: str) -> Node:
         elif tag not in VOID and not token.endswith("/>"):
             stack.append(node)
             inside += tag in ("article", "main")
+    if unsure:
+        _keep_bodies(root)
     return root
 
 
 def _node(parent: Node, tag: str, attributes: dict[str, str], inside: int) -> Node:
     named = f"{tag}.{attributes.get('class', '')}#{attributes.get('id', '')}"
     path = xxhash.xxh3_64_intdigest(f"{parent.path} {re.sub('[0-9]+', '0', named)}")
+    never = tag in HIDDEN and tag != "form" or tag == "header" and not inside
     dropped = (
-        tag in HIDDEN or tag == "header" and not inside or "hidden" in attributes or attributes.get("aria-hidden") == "true"
+        never or tag == "form" or "hidden" in attributes or attributes.get("aria-hidden") == "true"
         or attributes.get("role", "").lower() in ROLES
-        or tag not in ("html", "body", "main") and any(NAMES.search(attributes.get(name, "")) for name in ("class", "id"))
+        or tag not in ("html", "body", "main", "article") and any(_named(attributes.get(name, "")) for name in ("class", "id"))
     )
-    return Node(tag, path, dropped)
+    return Node(tag, path, dropped, dropped and not never)
+
+
+def _named(value: str) -> bool:
+    """Whether one of the names in a class or id is that of a menu, an advertisement and the like."""
+    return bool(NAMES.search(value)) and any(NAMES.search(name) and not STATES.search(name) for name in value.split())
+
+
+def _keep_bodies(root: Node) -> None:
+    """Elements that are dropped by name, state or as a form stay if they hold ``main``, more than half of the text in
+    articles, or more than half of the page's text. What is dropped for certain counts for nothing."""
+    order, todo = [], [(root, False)]
+    while todo:
+        node, article = todo.pop()
+        article = article or node.tag == "article"
+        order.append((node, article))
+        todo += [(c, article) for c in node.children() if c.unsure or not c.dropped]
+    found: dict[int, tuple[int, int, bool]] = {}
+    for node, article in reversed(order):
+        size = sum(len(x) - x.count(" ") for x in node.held if isinstance(x, str) and not x.isspace())
+        below = [found[id(c)] for c in node.children() if id(c) in found]
+        sizes = size + sum(x[0] for x in below), size * article + sum(x[1] for x in below)
+        found[id(node)] = *sizes, node.tag == "main" or any(x[2] for x in below)
+    every, articles, _ = found[id(root)]
+    for node, _ in order:
+        own, own_articles, main = found[id(node)]
+        if node.unsure and (main or 2 * own_articles > articles or 2 * own > every):
+            node.dropped = False
 
 
 def _own_text(node: Node) -> str:
@@ -210,7 +247,8 @@ def main_text(root: Node, layouts: dict[int, float], contents: dict[int, float],
         elif isinstance(at, str):
             run.append(at)
         elif at.tag in INLINE:
-            continue
+            if not at.dropped:
+                todo += reversed(at.held)
         else:
             close()
             if not at.dropped and branch[id(at)] >= least:

@@ -90,3 +90,26 @@ def test_copies_of_pages_prove_nothing(spark):
     rows = site("a.example", 30, 0)
     copied = rows + [(100 + n, *rows[3][1:]) for n in range(300)]
     assert texts_of(spark, copied)[:30] == texts_of(spark, rows)
+
+
+BODIES = [
+    "<article class='post comments-open'>{}</article>",
+    "<div id='page' class='site no-sidebar'>{}</div>",
+    "<div class=has-sidebar><div class='social-layout'>{}</div></div>",
+    "<form id=aspnetForm><input name=q><div>{}</div></form>",
+    "<div hidden class=sidebar><article>{}</article></div>",
+    "<div class='page sidebar'><main>{}</main></div>",
+    "<main><div class='elementor-widget'>{}</div></main>",
+    "<span class='share'>{}</span>",
+]
+
+
+@pytest.mark.parametrize("body", BODIES)
+def test_wrappers_of_the_main_text_stay(body):
+    page = "<nav>" + "menu " * 50 + "</nav>" + body.format("<p>The story of the day</p>") + "<div class='sidebar'><p>side</p></div><form><p>go</p></form>"
+    assert main_text(parse(page), {}, {}) == "The story of the day"
+
+
+def test_other_parts_beside_an_article_go():
+    page = "<article><p>The story of the day and more</p></article><div class=sidebar><p>side</p></div><div class=comments><p>short</p></div>"
+    assert main_text(parse(page), {}, {}) == "The story of the day and more"
