@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from fundlake.llm.common import read, rows_of
 from fundlake.llm.quality import held_out
 
-#: Per language: at most this many labelled rows of at most so many characters, dealt to so many dictionaries of at most
+#: Per language: at most so many characters, from the first letter on, of at most this many labelled rows, dealt to so many dictionaries of at most
 #: so many bytes.
 SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARIES, DICTIONARY_BYTES = 400, 4_000, 3, 96 * 1024
 #: Texts are compressed in blocks of this many bytes, so that the dictionary and not the text's own start decides.
@@ -30,6 +30,8 @@ BLOCK = 2048
 #: Compression levels of the first and the second look, and the margin under which there is a second one.
 LEVEL, SECOND_LEVEL, SECOND_LOOK = 5, 12, 0.15
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: What stands before the first letter, as Java's expressions have it.
+_BEFORE_LETTERS = r"^[^\p{L}\p{Nl}\p{No}]+"
 
 
 def letters(text: str) -> str:
@@ -38,10 +40,14 @@ def letters(text: str) -> str:
 
 
 def learn(docs: DataFrame) -> dict[str, list[bytes]]:
-    """Raw dictionary contents per language from labelled rows that are not held out, in the order of a hash of the id."""
+    """Raw dictionary contents per language from labelled rows that are not held out, in the order of a hash of the id.
+
+    Rows count whatever their length: of a long text a piece is taken. Texts without a letter are passed over.
+    """
     by_hash = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     usable = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out())
-    sample = usable.where(F.length("text").between(1, SAMPLE_CHARS)).withColumn("n", F.row_number().over(by_hash)).where(f"n <= {SAMPLE_ROWS}")
+    pieces = usable.withColumn("text", F.substring(F.regexp_replace("text", _BEFORE_LETTERS, ""), 1, SAMPLE_CHARS)).where("text != ''")
+    sample = pieces.withColumn("n", F.row_number().over(by_hash)).where(f"n <= {SAMPLE_ROWS}")
     texts: dict[str, list[str]] = {}
     for row in sample.select("lang", "n", "text").orderBy("lang", "n").collect():
         texts.setdefault(row["lang"], []).append(letters(row["text"]))

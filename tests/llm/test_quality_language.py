@@ -75,6 +75,16 @@ def test_training_rows_are_bounded(spark, monkeypatch):
     assert seen == [10]
 
 
+def test_languages_of_long_texts_only_are_learned(spark):
+    docs = [(i, text_of("aa", 40, i), "aa") for i in range(60)] + [(100 + i, "12 -- " * i + text_of("bb", 2000, i), "bb") for i in range(30)]
+    docs += [(200 + i, "12 34 !!", "cc") for i in range(900)] + [(2000 + i, "1. " * 2000 + text_of("cc", 40, i), "cc") for i in range(9)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    contents = learn(df)
+    assert sorted(contents) == ["aa", "bb", "cc"]
+    rows = {r.doc_id: r.lang_pred for r in identify(df, contents).collect()}
+    assert all(rows[i] == lang for i, text, lang in docs if letters(text))
+
+
 def test_languages_are_told_apart(spark):
     langs = sorted(SYLLABLES)
     docs = [(i, text_of(langs[i % 3], 4 + i % 60, i), langs[i % 3], "x") for i in range(600)]
