@@ -206,7 +206,8 @@ def train(features: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     known = (
         labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("label"))
     ).where(~held_out())
-    sample = first_by_hash(features.join(known, "doc_id"), rows, known.count(), "doc_id", *FEATURES)
+    labelled = features.join(known, "doc_id")
+    sample = first_by_hash(labelled, rows, labelled.count(), "doc_id", *FEATURES)
     got = sample.select("label", *FEATURES).toPandas().to_numpy(dtype=np.float64).reshape(-1, 1 + len(FEATURES))
     return fit(got[:, 1:], got[:, 0])
 

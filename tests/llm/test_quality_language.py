@@ -75,6 +75,14 @@ def test_training_rows_are_bounded(spark, monkeypatch):
     assert seen == [10]
 
 
+def test_labels_of_absent_documents_cost_no_training_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append(len(y)) or fit(x, y))
+    docs = spark.createDataFrame([(i, "a b") for i in range(60)], "doc_id long, text string")
+    score_quality(docs, spark.range(200_000).selectExpr("id doc_id", "cast(id % 2 as int) quality"), training_rows=10)
+    assert seen == [10]
+
+
 def test_languages_of_long_texts_only_are_learned(spark):
     docs = [(i, text_of("aa", 40, i), "aa") for i in range(60)] + [(100 + i, "12 -- " * i + text_of("bb", 2000, i), "bb") for i in range(30)]
     docs += [(200 + i, "12 34 !!", "cc") for i in range(900)] + [(2000 + i, "1. " * 2000 + text_of("cc", 40, i), "cc") for i in range(9)]
