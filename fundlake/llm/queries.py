@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from fundlake.llm.decontaminate import op5_decontaminate
 from fundlake.llm.html_text import op8_html_text
 from fundlake.llm.language import op4_language
+from fundlake.llm.merkle import SQL as MERKLE_SQL
+from fundlake.llm.merkle import op11_merkle
 from fundlake.llm.neighbours import op7_neighbours
 from fundlake.llm.ngram_join import op1_ngram_join
 from fundlake.llm.packing import op6_packing
@@ -29,6 +31,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op11_merkle": op11_merkle,
 }
 
-SQL: dict[str, str] = {"op2_warc": WARC_SQL}
+SQL: dict[str, str] = {"op2_warc": WARC_SQL, "op11_merkle": MERKLE_SQL}

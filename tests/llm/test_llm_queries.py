@@ -23,12 +23,13 @@ COLUMNS = {
     "op8_html_text": "page_id bigint, url string, text string, n_chars bigint",
     "op9_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
     "op10_quality": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op11_merkle": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
 }
 #: Tables of which a query returns a row for each row.
-WHOLE = {"op1_ngram_join": "documents", "op2_warc": "pages", "op3_substrings": "documents", "op4_language": "documents", "op8_html_text": "pages", "op9_token_counts": "documents", "op10_quality": "documents"}
+WHOLE = {"op1_ngram_join": "documents", "op2_warc": "pages", "op3_substrings": "documents", "op4_language": "documents", "op8_html_text": "pages", "op9_token_counts": "documents", "op10_quality": "documents", "op11_merkle": "documents"}
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     assert set(ALL) == set(COLUMNS) and set(SQL) <= set(ALL)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicate", "substring", "decontaminate", "pack"]
 
