@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fundlake.llm.conversations import SQL as CONVERSATIONS_SQL
+from fundlake.llm.conversations import op13_conversations
 from fundlake.llm.decontaminate import op5_decontaminate
 from fundlake.llm.html_text import op8_html_text
 from fundlake.llm.language import op4_language
@@ -15,6 +17,7 @@ from fundlake.llm.neighbours import op7_neighbours
 from fundlake.llm.ngram_join import op1_ngram_join
 from fundlake.llm.packing import op6_packing
 from fundlake.llm.quality import op10_quality
+from fundlake.llm.rules import op12_rules
 from fundlake.llm.substrings import op3_substrings
 from fundlake.llm.token_counts import op9_token_counts
 from fundlake.llm.warc import SQL as WARC_SQL
@@ -32,6 +35,8 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
     "op11_merkle": op11_merkle,
+    "op12_rules": op12_rules,
+    "op13_conversations": op13_conversations,
 }
 
-SQL: dict[str, str] = {"op2_warc": WARC_SQL, "op11_merkle": MERKLE_SQL}
+SQL: dict[str, str] = {"op2_warc": WARC_SQL, "op11_merkle": MERKLE_SQL, "op13_conversations": CONVERSATIONS_SQL}

@@ -24,9 +24,11 @@ COLUMNS = {
     "op9_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
     "op10_quality": "doc_id bigint, held_out boolean, score double, predicted int",
     "op11_merkle": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+    "op12_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
+    "op13_conversations": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, repaired_sha256 string",
 }
 #: Tables of which a query returns a row for each row.
-WHOLE = {"op1_ngram_join": "documents", "op2_warc": "pages", "op3_substrings": "documents", "op4_language": "documents", "op8_html_text": "pages", "op9_token_counts": "documents", "op10_quality": "documents", "op11_merkle": "documents"}
+WHOLE = {"op1_ngram_join": "documents", "op2_warc": "pages", "op3_substrings": "documents", "op4_language": "documents", "op8_html_text": "pages", "op9_token_counts": "documents", "op10_quality": "documents", "op11_merkle": "documents", "op12_rules": "documents"}
 
 
 def test_all_are_registered():
