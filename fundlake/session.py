@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: they need not have it on their path."""
+    package = Path(__file__).resolve().parent
+    if spark.sparkContext.applicationId in _shipped or not package.is_dir():
+        return
+    with zipfile.ZipFile(f"{tempfile.mkdtemp()}/{package.name}.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive.filename)
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as the session names it; a local session without one gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
