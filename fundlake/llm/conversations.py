@@ -159,7 +159,7 @@ def _ordered(rows: DataFrame) -> DataFrame:
         (~F.col("text").rlike(r"[^\x20\x09-\x0D]")).alias("blank"),
         (~F.col("text").rlike(r"[.!?][\x20\x09-\x0D]*\z")).alias("truncated"),
     )
-    return stage(numbered(said, "conv", "turn", "said"), "conversation_rows")
+    return numbered(said, "conv", "turn", "said")
 
 
 def _chunks(rows: DataFrame, chunk: int) -> DataFrame:
