@@ -33,6 +33,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings, dots written as two underscores, for the actions inside."""
+    names = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
 _shipped: set[str] = set()
 
 

@@ -35,6 +35,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by key: a given table is one file of one row group, which would be rendered by one task."""
+    return df.repartition(key)
+
+
 class Source:
     """Orders and line items of one folder.
 
@@ -48,7 +53,7 @@ class Source:
     @cached_property
     def orders(self) -> DataFrame:
         """Orders with delivery, person and enrolment keys. Every fifth customer is known by another number."""
-        return table(self.spark, self.sf, "orders").selectExpr(
+        return spread(table(self.spark, self.sf, "orders"), "o_orderkey").selectExpr(
             "*",
             "cast(year(o_orderdate) AS string) AS levering",
             "CASE WHEN o_custkey % 5 != 0 THEN cast(o_custkey AS string) END AS Burgerservicenummer",
@@ -68,7 +73,7 @@ class Source:
             "Onderwijsnummer",
             "Inschrijvingvolgnummer",
         )
-        items = table(self.spark, self.sf, "lineitem")
+        items = spread(table(self.spark, self.sf, "lineitem"), "l_orderkey")
         joined = items.withColumn("verzonden", F.col("l_shipdate").cast("date")).join(keys, "l_orderkey")
         lines = work_table(joined, "regels-per-order") if self.staged else joined
         return lines.withColumn(VOLGORDE, F.struct(*LINE_POSITION))
