@@ -35,6 +35,7 @@ def build_parser() -> argparse.ArgumentParser:
     zone.add_argument("raw")
     zone.add_argument("prepared")
     zone.add_argument("output")
+    zone.add_argument("--everything", action="store_true", help="read all files again, not only new and changed ones")
     return parser
 
 
@@ -50,7 +51,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
         tables = run_obt(spark, args.sources, args.output, args.relative_to)
         counts = {name: df.count() for name, df in tables.items()}
     else:
-        result = run_landing_zone(spark, args.raw, args.prepared, args.output)
+        result = run_landing_zone(spark, args.raw, args.prepared, args.output, everything=args.everything)
         counts = result.obt
     summary = run_summary(counts)
     return f"{args.job}: {summary['tabellen']} tabellen, {summary['rijen']} rijen naar {args.output}"

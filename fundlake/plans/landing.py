@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,20 @@ from fundlake.schemas import SCHEMAS
 from fundlake.session import work_area, work_table
 from fundlake.sources.discovery import delivery_label, discover, family_glob, shared_labels
 from fundlake.sources.exports import export_counted, table_path, write_table
-from fundlake.sources.files import exists, remove
-from fundlake.sources.prepared import stack_prepared, stack_store, table_names
+from fundlake.sources.files import exists, loadable, remove
+from fundlake.sources.prepared import stack_prepared, stack_store
 from fundlake.sources.profile import STAGES
+from fundlake.sources.store import (
+    MANIFEST,
+    SEEN,
+    content_numbers,
+    drop_deliveries,
+    read_manifest,
+    store_path,
+    stored_deliveries,
+    write_deliveries,
+    write_manifest,
+)
 
 QUARANTINE = "quarantaine"
 
@@ -35,18 +47,24 @@ class LandingResult:
 
 
 def normalise_family(
-    spark: SparkSession, raw: str, prepared: str, family: str, files: DataFrame, shared: Sequence[str] = ()
+    spark: SparkSession, raw: str, prepared: str, family: str, files: DataFrame, shared: Sequence[str] = (), whole: bool = True
 ) -> tuple[dict[str, int], DataFrame]:
-    """Type all deliveries of a family into one store; return rows per table and the rejected deliveries.
+    """Type the deliveries in ``files`` into the store of their family; return rows per table and the rejected ones.
 
-    A delivery is accepted or rejected as a whole. Tables of an earlier run that no longer occur are removed.
+    A delivery is accepted or rejected as a whole, and replaces what an earlier run stored of it. With ``whole`` the files
+    are all that the family has, and are found by name instead of listed one by one.
     """
     label = delivery_label(F.col("_metadata.file_path"), raw, shared)
-    found = read_family(spark, raw, family, label=label, glob=family_glob(family), staged=True)
-    folder = f"{str(prepared).rstrip('/')}/{family}"
-    written = export_counted(decode_frames(found.tables, family), folder)
-    for stale in set(table_names(spark, folder)) - set(written) if exists(spark, folder) else ():
-        remove(spark, table_path(folder, stale))
+    if whole:
+        found = read_family(spark, raw, family, label=label, glob=family_glob(family), staged=True)
+    else:
+        paths = [row[0] for row in files.select(loadable(F.col("bron"))).collect()]
+        found = read_family(spark, paths, family, label=label, staged=True)
+    folder = store_path(prepared, family)
+    written = write_deliveries(decode_frames(found.tables, family), folder)
+    accepted = found.profile.where("reden IS NULL").select(LEVERING, F.map_keys("aantallen").alias("tabellen")).collect()
+    read = {row[0] for row in files.select(LEVERING).collect()}
+    drop_deliveries(spark, folder, read, {row.levering: set(row.tabellen) for row in accepted})
 
     unread = files.join(found.profile.select(LEVERING), LEVERING, "left_anti")
     empty = unread.select(LEVERING, F.lit(STAGES[0]).alias("fase"), F.lit("Leeg bestand").alias("reden"))
@@ -54,13 +72,32 @@ def normalise_family(
     return written, rejected
 
 
+def changed_files(spark: SparkSession, files: DataFrame, manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Files to read, and the manifest as it will be.
+
+    A file that has the path, length and time of the manifest is not opened. One that differs is read once for a number of
+    its content: with the same content only the manifest changes.
+    """
+    fresh = work_table(files.join(manifest, list(SEEN), "left_anti"), "nieuwe-bestanden")
+    known = files.join(manifest, list(SEEN)).select(*SEEN, "inhoud")
+    numbered = []
+    for family in SCHEMAS:
+        mine = fresh.where(F.col("bestandstype") == family)
+        numbered.append(content_numbers(spark, mine.select(*SEEN, "bron"), "<" if family == "tbgi" else "\n"))
+    fresh = work_table(reduce(DataFrame.unionByName, numbered), "gelezen-bestanden")
+    same = manifest.select(LEVERING, "bestandstype", "bytes", "inhoud")
+    changed = fresh.join(same, [LEVERING, "bestandstype", "bytes", "inhoud"], "left_anti")
+    return changed, known.unionByName(fresh.select(*SEEN, "inhoud"))
+
+
 def normalise_landing(
-    spark: SparkSession, raw: str, prepared: str
+    spark: SparkSession, raw: str, prepared: str, everything: bool = False
 ) -> tuple[dict[str, dict[str, int]], DataFrame]:
-    """Type every delivery under ``raw``; failing ones end in the quarantine table and do not stop the rest.
+    """Bring the stores up to date with the deliveries under ``raw``; failing ones end in the quarantine table and do not
+    stop the rest. Only new and changed files are read, unless ``everything`` is to be read again; what is gone from
+    ``raw`` goes from the stores. Returns the rows written per family and table.
 
-    Without any delivery this raises and leaves the stores as they are. The store of a family that no longer has a
-    delivery goes after all others were written.
+    Without any delivery this raises and leaves the stores as they are.
     """
     files = work_table(discover(spark, raw), "bestanden")
     families = {row.bestandstype for row in files.select("bestandstype").distinct().collect()}
@@ -68,27 +105,51 @@ def normalise_landing(
         raise FileNotFoundError(f"Geen leveringen gevonden onder {raw}")
     if shared := shared_labels(files):
         files = work_table(discover(spark, raw, shared), "bestanden")
-    written, rejected = {}, spark.createDataFrame([], "levering string, bestandstype string, fase string, reden string")
+    earlier = work_table(read_manifest(spark, prepared), "manifest-vooraf")
+    changed, manifest = changed_files(spark, files, earlier.limit(0) if everything else earlier)
+    changed = work_table(changed, "gewijzigd")
+    if not exists(spark, table_path(prepared, MANIFEST)):
+        for family in SCHEMAS:  # what is there was never finished
+            remove(spark, store_path(prepared, family))
+    gone = earlier.join(files, [LEVERING, "bestandstype"], "left_anti").select(LEVERING, "bestandstype").collect()
+
+    schema = "levering string, bestandstype string, fase string, reden string"
+    settled = files.join(changed.select(LEVERING, "bestandstype"), [LEVERING, "bestandstype"], "left_anti")
+    rejected = spark.createDataFrame([], schema)
+    if exists(spark, table_path(prepared, QUARANTINE)):
+        before = spark.read.schema(schema).parquet(table_path(prepared, QUARANTINE))
+        kept = before.join(settled.select(LEVERING, "bestandstype"), [LEVERING, "bestandstype"], "left_semi")
+        rejected = work_table(kept, "quarantaine-vooraf")
+
+    counts = {row.bestandstype: row.n for row in changed.groupBy("bestandstype").agg(F.count(F.lit(1)).alias("n")).collect()}
+    totals = {row.bestandstype: row.n for row in files.groupBy("bestandstype").agg(F.count(F.lit(1)).alias("n")).collect()}
+    written = {}
     for family in SCHEMAS:
-        if family in families:
-            mine = files.where(F.col("bestandstype") == family)
-            written[family], bad = normalise_family(spark, raw, prepared, family, mine, shared)
+        if counts.get(family):
+            mine = changed.where(F.col("bestandstype") == family)
+            whole = counts[family] == totals[family]
+            written[family], bad = normalise_family(spark, raw, prepared, family, mine, shared, whole)
             rejected = rejected.unionAll(bad)
-    write_table(rejected, table_path(prepared, QUARANTINE))
-    for family in set(SCHEMAS) - families:
-        if exists(spark, f"{str(prepared).rstrip('/')}/{family}"):
-            remove(spark, f"{str(prepared).rstrip('/')}/{family}")
+        # Also what no manifest knows of, as after a run that broke off.
+        present = {row[0] for row in files.where(F.col("bestandstype") == family).select(LEVERING).collect()}
+        stored = stored_deliveries(spark, store_path(prepared, family))
+        drop_deliveries(spark, store_path(prepared, family), ({r.levering for r in gone if r.bestandstype == family} | stored) - present, {})
+    write_table(work_table(rejected, "quarantaine"), table_path(prepared, QUARANTINE))
+    write_manifest(manifest, prepared)
     return written, spark.read.parquet(table_path(prepared, QUARANTINE))
 
 
 def run_landing_zone(
-    spark: SparkSession, raw: str, prepared: str, output: str, options: ObtOptions | None = None
+    spark: SparkSession, raw: str, prepared: str, output: str, options: ObtOptions | None = None, everything: bool = False
 ) -> LandingResult:
-    """Normalise, stack, build and write everything under ``raw``."""
+    """Bring the stores up to date with ``raw``, then stack them, build the result tables and write those.
+
+    Only new and changed files are read, see ``normalise_landing``. The result tables are made from the stores as a whole.
+    """
     with work_area(spark):
-        written, quarantine = normalise_landing(spark, raw, prepared)
-        present = {table for tables in written.values() for table, rows in tables.items() if rows}
-        obt = build_obt(stack_store(spark, prepared), options, present, store=work_table)
+        written, quarantine = normalise_landing(spark, raw, prepared, everything)
+        stacked = stack_store(spark, prepared)
+        obt = build_obt(stacked, options, set(stacked), store=work_table)
         counts = export_counted(obt, output)
     return LandingResult(written, counts, quarantine, obt_summary(spark, output, counts))
 

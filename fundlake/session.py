@@ -17,6 +17,8 @@ from fundlake.sources.files import remove
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Stores are partitioned by delivery, and a label such as 1995 stays text.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

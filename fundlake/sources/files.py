@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 
 def _path(spark: SparkSession, path: str):
@@ -41,3 +42,8 @@ def remove(spark: SparkSession, path: str) -> None:
 def rename(spark: SparkSession, path: str, target: str) -> None:
     hadoop_path, fs = _path(spark, path)
     fs.rename(hadoop_path, _path(spark, target)[0])
+
+
+def loadable(path: Column) -> Column:
+    """A path as a reader takes it: characters that would make it a pattern are escaped."""
+    return F.regexp_replace(path, r"([\\{}\[\]*?])", r"\\$1")

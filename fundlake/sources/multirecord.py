@@ -165,7 +165,7 @@ def read_multi_record(
 ) -> Deliveries:
     """Read all text deliveries under ``paths``: two passes over the files, or one when ``staged``."""
     load_schema(family)
-    for path in [paths] if isinstance(paths, str) else paths:
-        require_path(spark, path)
+    if isinstance(paths, str):  # a list is of files that were found
+        require_path(spark, paths)
     parsed = parse_lines(read_lines(spark, paths, label, glob), family)
     return tables_of(stage_lines(parsed, family) if staged else parsed, family)

@@ -109,7 +109,8 @@ def stack_store(spark: SparkSession, prepared: str) -> dict[str, DataFrame]:
     for family in SCHEMAS:
         folder = f"{str(prepared).rstrip('/')}/{family}"
         for name in table_names(spark, folder) if exists(spark, folder) else []:
-            legs.setdefault(name, []).append(spark.read.parquet(table_path(folder, name)))
+            stored = spark.read.parquet(table_path(folder, name))
+            legs.setdefault(name, []).append(stored.select(LEVERING, *[c for c in stored.columns if c != LEVERING]))
     return {name: frames[0] if len(frames) == 1 else relaxed_union(frames) for name, frames in legs.items()}
 
 

@@ -276,6 +276,12 @@ SELECT 'levering=' || l.levering || '/RO_' || l.levering AS levering, l.pid AS _
   cast(coalesce(sum(CASE WHEN l_linestatus = 'O' THEN l_quantity END) OVER (PARTITION BY vnr), 0) AS double)
     AS "BPV_TotaalOmvang"
 FROM l LEFT JOIN p ON l.levering = p.levering AND l.pid = p.pid""",
+    "landing_twice": f"""WITH {L}, {P},
+g AS (SELECT * FROM l WHERE levering != '1997' AND (levering != '1996' OR (l_orderkey * 8 + l_linenumber) % 2 = 0))
+SELECT 'eerst/RO_' || g.levering AS levering, g.pid AS _persoon_id, {VNR}, verzonden AS "DatumBegin",
+  cast(l_partkey AS varchar) AS "Opleidingcode", "Geboortedatum",
+  (SELECT count(*) FROM g WHERE levering IN ('1996', '1998')) AS nieuw_geschreven
+FROM g LEFT JOIN p ON g.levering = p.levering AND g.pid = p.pid""",
     "skewed_join": """SELECT 'L' AS levering, CASE WHEN l_orderkey % 10 = 0 THEN l_partkey ELSE -1 END AS sleutel,
   l_orderkey, l_linenumber, l_quantity, CASE WHEN l_orderkey % 10 = 0 THEN p_brand ELSE 'veel' END AS p_brand
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey""",

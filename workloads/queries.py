@@ -20,6 +20,7 @@ from fundlake.plans.reports import delivery_counts, enrolment_rollup, fundable_p
 from fundlake.session import work_dir, work_table
 from fundlake.sources.discovery import delivery_label, family_of
 from fundlake.sources.exports import export_counted, export_frames, visible
+from fundlake.sources.files import remove, rename
 from fundlake.sources.multirecord import decode_lines, parse_lines, stage_lines, tables_of
 from fundlake.sources.prepared import read_results, stack_prepared
 from fundlake.sources.profile import profile_lines
@@ -235,6 +236,34 @@ def landing_obt(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def landing_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """A landing folder read, then read again after one delivery was replaced, one removed and one added; the wide table
+    with the deliveries that the second run had to write."""
+    folder = f"{work_dir(spark)}/fundlake/landing-{uuid4().hex}"
+    src = T.Source(spark, sf, staged=True)
+
+    def deliver(chosen: str, target: str) -> None:
+        lines = R.together(*(part(src) for part in (R.headers, R.person_lines, R.enrolment_lines, R.period_lines)))
+        R.write_files(lines.where(chosen), target)
+        R.name_files(spark, target, "RO_{}.csv")
+
+    deliver("levering != '1998'", f"{folder}/raw/eerst")
+    run_landing_zone(spark, f"{folder}/raw", f"{folder}/prepared", f"{folder}/output")
+    # 1996 comes again with half of its enrolment periods, 1997 goes and 1998 is new.
+    for year in ("1996", "1997"):
+        remove(spark, f"{folder}/raw/eerst/levering={year}")
+    half = f"levering = '1998' OR levering = '1996' AND ({VOLGORDE}.blok != 3 OR {VOLGORDE}.regel % 2 = 0)"
+    deliver(half, f"{folder}/raw/later")
+    for year in ("1996", "1998"):
+        rename(spark, f"{folder}/raw/later/levering={year}", f"{folder}/raw/eerst/levering={year}")
+    result = run_landing_zone(spark, f"{folder}/raw", f"{folder}/prepared", f"{folder}/output")
+    wide = read_results(spark, f"{folder}/output", "obt_inschrijvingen")
+    return wide.select(
+        "levering", "_persoon_id", "Inschrijvingvolgnummer", "DatumBegin", "Opleidingcode", "Geboortedatum",
+        F.lit(result.prepared["ro"]["ISP"]).cast("long").alias("nieuw_geschreven"),
+    )
+
+
 def skewed_join(spark: SparkSession, sf: str) -> DataFrame:
     """Nine tenths of the line items on one key, cut into slices of a thousand rows."""
     items = T.Source(spark, sf).lines.selectExpr(
@@ -456,6 +485,7 @@ ALL = {
         detail_bpv,
         detail_kzd_amo,
         landing_obt,
+        landing_twice,
         skewed_join,
         xml_files,
         detail_bekostiging,
