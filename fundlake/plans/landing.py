@@ -148,7 +148,7 @@ def run_landing_zone(
     """
     with work_area(spark):
         written, quarantine = normalise_landing(spark, raw, prepared, everything)
-        stacked = stack_store(spark, prepared)
+        stacked = stack_store(spark, prepared, harmonised=bool(options and options.harmonised))
         obt = build_obt(stacked, options, set(stacked), store=work_table)
         counts = export_counted(obt, output)
     return LandingResult(written, counts, quarantine, obt_summary(spark, output, counts))

@@ -47,11 +47,14 @@ class ObtOptions:
     dedup_dip: take the first diploma per reference, so that key repair never multiplies rows.
     person_by_key: find the person of a count date by enrolment number instead of by its parent element. Numbers
         repeat across persons, so this can mix persons and multiply rows.
+    harmonised: write yes and no, and results of electives, in one coding before the families are united. Landing runs
+        only, as the stores tell the family of a table.
     """
 
     passed: str = "contains"
     dedup_dip: bool = False
     person_by_key: bool = False
+    harmonised: bool = False
 
 
 def _first_column(df: DataFrame, *names: str) -> DataFrame:

@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from fundlake.columns import LEVERING
 from fundlake.operators.keys import ENROLMENT_KEY
+from fundlake.operators.reconcile import TOTALS, control_totals, reconcile_counts
+from fundlake.operators.union import tagged_union
+from fundlake.sources.discovery import discover
 from fundlake.sources.exports import table_path
+from fundlake.sources.filenames import named_deliveries, superseded
+from fundlake.sources.prepared import read_store
 
 PREVIEW_ROWS = 1_000
 PLACEMENT_COLUMNS = ("BPV_Aantal", "BPV_TotaalOmvang")
@@ -65,3 +70,22 @@ def placement_hours(obt: DataFrame) -> DataFrame:
         .groupBy(LEVERING)
         .agg(*[F.sum(c).alias(c) for c in PLACEMENT_COLUMNS], F.count(F.lit(1)).alias("inschrijvingen"))
     )
+
+
+def reconcile_store(spark: SparkSession, prepared: str, tolerance: str = "0") -> DataFrame:
+    """Declared and delivered rows of every delivery in the stores of a landing zone, with their family in ``_bron``."""
+    stores = {family: read_store(spark, prepared, family) for family in ("ro", "grondslag")}
+    found = {family: reconcile_counts(tables, tolerance) for family, tables in stores.items() if TOTALS in tables}
+    if not found:
+        raise FileNotFoundError(f"Geen sluitrecords onder {prepared}")
+    return tagged_union(found)
+
+
+def store_totals(spark: SparkSession, prepared: str, family: str = "ro") -> DataFrame:
+    """Control totals of a family's store, per record type, per delivery and over all."""
+    return control_totals(read_store(spark, prepared, family))
+
+
+def replaced_deliveries(spark: SparkSession, raw: str) -> DataFrame:
+    """Deliveries under ``raw`` with the period in their name and the newer delivery that replaces them, if any."""
+    return superseded(named_deliveries(discover(spark, raw)))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.columns import LEVERING, VOLGORDE
+from fundlake.operators.codes import harmonise
 from fundlake.operators.joins import lookup_join
 from fundlake.operators.union import relaxed_union
 from fundlake.schemas import SCHEMAS
@@ -103,14 +104,22 @@ def stack_prepared(
     return {name: labelled(name, paths) for name, paths in tables.items()}
 
 
-def stack_store(spark: SparkSession, prepared: str) -> dict[str, DataFrame]:
-    """Stack the family stores of a landing zone: at most one union leg per family, whatever the deliveries."""
+def read_store(spark: SparkSession, prepared: str, family: str) -> dict[str, DataFrame]:
+    """The tables of a family's store, the delivery first."""
+    folder = f"{str(prepared).rstrip('/')}/{family}"
+    names = table_names(spark, folder) if exists(spark, folder) else []
+    stored = {name: spark.read.parquet(table_path(folder, name)) for name in names}
+    return {name: df.select(LEVERING, *[c for c in df.columns if c != LEVERING]) for name, df in stored.items()}
+
+
+def stack_store(spark: SparkSession, prepared: str, harmonised: bool = False) -> dict[str, DataFrame]:
+    """Stack the family stores of a landing zone: at most one union leg per family, whatever the deliveries.
+    ``harmonised`` writes the codes of all families in one coding first."""
     legs: dict[str, list[DataFrame]] = {}
     for family in SCHEMAS:
-        folder = f"{str(prepared).rstrip('/')}/{family}"
-        for name in table_names(spark, folder) if exists(spark, folder) else []:
-            stored = spark.read.parquet(table_path(folder, name))
-            legs.setdefault(name, []).append(stored.select(LEVERING, *[c for c in stored.columns if c != LEVERING]))
+        tables = read_store(spark, prepared, family)
+        for name, df in (harmonise(tables, family) if harmonised else tables).items():
+            legs.setdefault(name, []).append(df)
     return {name: frames[0] if len(frames) == 1 else relaxed_union(frames) for name, frames in legs.items()}
 
 

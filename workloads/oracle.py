@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from workloads.funding_sql import funding_sql
+
 # Orders and line items with the keys of their delivery, person and enrolment.
 O = """
 o AS (
@@ -300,3 +302,5 @@ SELECT levering, cast(count(*) AS bigint) AS "BPV_Aantal", cast(sum({HOURS}) AS
   count(DISTINCT vnr) AS inschrijvingen FROM l GROUP BY levering""",
     "report_deliveries": f"""WITH {L} SELECT levering, count(*) AS rijen FROM l GROUP BY levering""",
 }
+
+SQL |= funding_sql(O, L)

@@ -27,6 +27,7 @@ from fundlake.sources.profile import profile_lines
 from fundlake.sources.tbgi import deliveries_of, parse_records, read_xml
 from workloads import rendered as R
 from workloads import tables as T
+from workloads.funding import FUNDING
 
 
 # Reading delivery text.
@@ -448,7 +449,7 @@ def report_deliveries(spark: SparkSession, sf: str) -> DataFrame:
     return delivery_counts(_wide(spark, sf))
 
 
-ALL = {
+FILES_TO_TABLES = {
     f.__name__: f
     for f in (
         multirecord_parse,
@@ -498,3 +499,5 @@ ALL = {
         report_deliveries,
     )
 }
+
+ALL = FILES_TO_TABLES | FUNDING
