@@ -15,7 +15,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 BYTES = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
-PLACES = mix(np.arange(1, 65, dtype=U64) * U64(0xD1342543DE82EF95)) | U64(1)
+
+
+def multipliers(places: np.ndarray) -> np.ndarray:
+    """An odd multiplier for each place, of its own however far the place is."""
+    return mix((places.astype(U64) + U64(1)) * U64(0xD1342543DE82EF95)) | U64(1)
+
+
+PLACES = multipliers(np.arange(64))
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -24,4 +31,7 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     end = np.flatnonzero(codes == 32)
     first = np.concatenate([[0], end[:-1] + 1])
     place = np.arange(len(codes)) - np.repeat(first, end + 1 - first)
-    return first, end, mix(np.add.reduceat(BYTES[codes] * PLACES[place & 63], first))
+    near = PLACES[np.minimum(place, 63)]
+    far = np.flatnonzero(place > 63)  # words beyond 64 bytes: addresses, and text without spaces
+    near[far] = multipliers(place[far])
+    return first, end, mix(np.add.reduceat(BYTES[codes] * near, first))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,14 +30,41 @@ SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARIES, DICTIONARY_BYTES = 400, 4_000, 3, 96 *
 BLOCK = 2048
 #: Compression levels of the first and the second look, and the margin under which there is a second one.
 LEVEL, SECOND_LEVEL, SECOND_LOOK = 5, 12, 0.15
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: What stands before the first letter, as Java's expressions have it.
-_BEFORE_LETTERS = r"^[^\p{L}\p{Nl}\p{No}]+"
+_BEFORE_LETTERS = r"^[^\p{L}]+"
+_HAS_LETTER = r"\p{L}"
+
+
+def _kept(code: int) -> bool:
+    """Letters, and marks that belong to letters."""
+    return unicodedata.category(chr(code))[0] in "LM"
+
+
+def _ranges(codes: Iterator[int]) -> str:
+    """A character class of codes in order."""
+    parts: list[list[int]] = []
+    for code in codes:
+        if parts and parts[-1][1] == code - 1:
+            parts[-1][1] = code
+        else:
+            parts.append([code, code])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in parts)
+
+
+#: Beyond the basic plane everything is kept first and looked at character by character; few texts have any of it.
+_NOT_LETTERS = re.compile(f"[^{_ranges(code for code in range(0x10000) if _kept(code))}\U00010000-\U0010ffff]+")
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]+")
+_LONE_MARKS = re.compile(r"[^\W\d_]")
 
 
 def letters(text: str) -> str:
-    """Lower-case words of a text with one space between them; empty if it has no letter."""
-    return _NOT_LETTERS.sub(" ", text).strip().lower()
+    """Lower-case words of a text, letters with their marks, with one space between them; empty if it has no letter.
+    Digits, fractions, superscripts and number signs are no letters."""
+    if text.isascii():
+        return _NOT_LETTERS.sub(" ", text).strip().lower()
+    words = _ASTRAL.sub(lambda run: "".join(c if _kept(ord(c)) else " " for c in run[0]), _NOT_LETTERS.sub(" ", text))
+    words = " ".join(words.split())
+    return words.lower() if _LONE_MARKS.search(words) else ""
 
 
 def learn(docs: DataFrame) -> dict[str, list[bytes]]:
@@ -44,9 +72,15 @@ def learn(docs: DataFrame) -> dict[str, list[bytes]]:
 
     Rows count whatever their length: of a long text a piece is taken. Texts without a letter are passed over.
     """
+    usable = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out()).where(F.col("text").rlike(_HAS_LETTER))
+    # A share of each language's rows by the hash of their id leaves about twice as many as are wanted, whatever it has;
+    # copies of one row are one.
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    steps = 1 << 30
+    share = counts.select("lang", F.ceil(F.lit(float((2 * SAMPLE_ROWS + 100) * steps)) / F.col("rows")).alias("share"))
+    drawn = usable.join(share, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < F.col("share"))
+    pieces = drawn.select("lang", "doc_id", F.substring(F.regexp_replace("text", _BEFORE_LETTERS, ""), 1, SAMPLE_CHARS).alias("text")).distinct()
     by_hash = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    usable = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out())
-    pieces = usable.withColumn("text", F.substring(F.regexp_replace("text", _BEFORE_LETTERS, ""), 1, SAMPLE_CHARS)).where("text != ''")
     sample = pieces.withColumn("n", F.row_number().over(by_hash)).where(f"n <= {SAMPLE_ROWS}")
     texts: dict[str, list[str]] = {}
     for row in sample.select("lang", "n", "text").orderBy("lang", "n").collect():

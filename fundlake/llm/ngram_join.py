@@ -424,3 +424,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents", doc_id="long", text="string"))
+
+
+SQL = r"""with recursive t as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents),
+s as materialized (
+  select distinct doc_id, array_to_string(words[i : i + 4], ' ') as shingle
+  from (select doc_id, words, unnest(range(1, greatest(1, len(words) - 4) + 1)) as i from t where len(words) > 0)),
+n as materialized (select doc_id, count(*) as n from s group by doc_id),
+met as (select a.doc_id as a, b.doc_id as b, count(*) as shared from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2),
+links as materialized (
+  select a, b from met join n x on x.doc_id = a join n y on y.doc_id = b where 100 * shared >= 75 * (x.n + y.n - shared)),
+ways as materialized (select a, b from links union all select b, a from links),
+reached(doc_id, other) as (
+  select doc_id, doc_id from t union select r.doc_id, w.b from reached r join ways w on w.a = r.other)
+select t.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id from t left join n using (doc_id)
+join (select doc_id, min(other) as component_id from reached group by doc_id) c using (doc_id)"""

@@ -14,10 +14,12 @@ from fundlake.llm.language import op4_language
 from fundlake.llm.merkle import SQL as MERKLE_SQL
 from fundlake.llm.merkle import op11_merkle
 from fundlake.llm.neighbours import op7_neighbours
+from fundlake.llm.ngram_join import SQL as NGRAM_SQL
 from fundlake.llm.ngram_join import op1_ngram_join
 from fundlake.llm.packing import op6_packing
 from fundlake.llm.quality import op10_quality
 from fundlake.llm.rules import op12_rules
+from fundlake.llm.substrings import SQL as SUBSTRINGS_SQL
 from fundlake.llm.substrings import op3_substrings
 from fundlake.llm.token_counts import op9_token_counts
 from fundlake.llm.warc import SQL as WARC_SQL
@@ -39,4 +41,10 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_conversations": op13_conversations,
 }
 
-SQL: dict[str, str] = {"op2_warc": WARC_SQL, "op11_merkle": MERKLE_SQL, "op13_conversations": CONVERSATIONS_SQL}
+SQL: dict[str, str] = {
+    "op1_ngram_join": NGRAM_SQL,
+    "op2_warc": WARC_SQL,
+    "op3_substrings": SUBSTRINGS_SQL,
+    "op11_merkle": MERKLE_SQL,
+    "op13_conversations": CONVERSATIONS_SQL,
+}

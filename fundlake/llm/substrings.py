@@ -217,19 +217,20 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     A word goes if a window that covers it also starts in a document with a smaller doc_id, as the documents were given.
     ``kept_text`` has the kept words joined by one space; it is empty for a null text. A null doc_id is neither smaller
-    nor larger than another: its row keeps all words. Rows that repeat an id are not earlier than each other.
+    nor larger than another: its row keeps all words. Rows that repeat an id are not earlier than each other. Other columns
+    are passed on, but for those that have the name of a result, which the result replaces.
     """
-    keyed = docs.withColumn("key", F.xxhash64("text"))
-    passages = stage(repeated_passages(keyed.select("doc_id", "key", "text"), window), "passages")
-    joined = keyed.join(
-        passages.select(F.col("doc_id").alias("own_id"), F.col("key").alias("own_key"), "passages").hint("shuffle_hash"),
-        F.expr("doc_id = own_id and key = own_key"), "left",
-    )
+    docs = docs.drop("n_words", "n_removed", "kept_text")
+    own = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    passages = stage(repeated_passages(own, window), "passages")
+    passages = passages.select(F.col("doc_id").alias("_own_id"), F.col("key").alias("_own_key"), F.col("passages").alias("_passages"))
+    same = (F.col("doc_id") == F.col("_own_id")) & (F.xxhash64("text") == F.col("_own_key"))
+    joined = docs.join(passages.hint("shuffle_hash"), same, "left")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             totals, removed, kept = [], [], []
-            for text, passages in rows_of(batch, "text", "passages"):
+            for text, passages in rows_of(batch, "text", "_passages"):
                 words = (text or "").encode().split()
                 totals.append(len(words))
                 if passages:
@@ -240,14 +241,28 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     words = left + words[at:]
                 removed.append(totals[-1] - len(words))
                 kept.append(b" ".join(words).decode())
-            names = [name for name in batch.schema.names if name != "passages"]
+            names = [name for name in batch.schema.names if name != "_passages"]
             new = [pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *new], [*names, "n_words", "n_removed", "kept_text"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.select(*docs.columns, "passages").mapInArrow(keep, f"{schema}, n_words long, n_removed long, kept_text string")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return joined.select(*docs.columns, "_passages").mapInArrow(keep, f"{schema}, n_words long, n_removed long, kept_text string")
 
 
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", doc_id="long", text="string")
     return remove_repeated(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SQL = rf"""with t as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+w as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as i, words, len(words) as n from t),
+s as (select doc_id, i, word, case when i + {WINDOW - 1} <= n then sha256(array_to_string(words[i : i + {WINDOW - 1}], ' ')) end as passage from w),
+f as (select *, passage is not null and min(doc_id) over (partition by passage) < doc_id as seen from s),
+c as (
+  select doc_id, i, word,
+    max(seen::int) over (partition by doc_id order by i rows between {WINDOW - 1} preceding and current row) = 1 as gone from f),
+k as (
+  select doc_id, count(*) filter (gone) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as kept from c group by doc_id)
+select t.doc_id, len(words)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from t left join k using (doc_id)"""

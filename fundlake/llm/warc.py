@@ -30,8 +30,10 @@ DICTIONARY_FRAME, SKIPPED_FRAME = 0x184D2A5D, 0x184D2A50
 LINE_END_FRAME = struct.pack("<II", SKIPPED_FRAME, 1)
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-#: The dictionary is trained on at most so many records of at most so many characters.
+#: The dictionary is trained on at most so many records; of a payload longer than so many characters a piece is taken.
 SAMPLE_RECORDS, SAMPLE_CHARS, DICTIONARY_BYTES = 800, 12_000, 112 * 1024
+#: Rows of one id and payload that one archive takes; a table of n rows has at most n / SAME_ROWS such keys above it.
+SAME_ROWS = 20_000
 #: Bytes of payload that one archive holds on average.
 ARCHIVE_BYTES = 64 << 20
 LEVEL = 6
@@ -64,10 +66,16 @@ def with_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     # to, or more if that would make them too large; fewer are put together by size while it runs.
     key, archives = F.concat_ws(" ", "page_id", "digest"), buckets_for(total, ARCHIVE_BYTES)
     revisits = keys.join(groups, ["digest", "size"]).where("not page_id <=> refers_to").select(key.alias("key"), "refers_to").distinct()
-    dealt = digested.withColumn("key", key)
+    # Rows that repeat, or that have no id, share a key: those keys are dealt in slices.
+    same = digested.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > SAME_ROWS)
+    same = same.select("key", F.ceil(F.col("rows") / SAME_ROWS).cast("int").alias("slices"))
+    slices = F.coalesce("slices", F.lit(1))
+    revisits = revisits.join(F.broadcast(same), "key", "left").select("key", "refers_to", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+    dealt = digested.withColumn("key", key).withColumn("at", F.monotonically_increasing_id()).join(F.broadcast(same), "key", "left")
+    dealt = dealt.withColumn("slice", F.pmod("at", slices).cast("int")).drop("at", "slices")
     if archives > int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        dealt, revisits = dealt.repartition(archives, "key"), revisits.repartition(archives, "key")
-    return dealt.join(revisits.hint("shuffle_hash"), "key", "left").drop("key")
+        dealt, revisits = dealt.repartition(archives, "key", "slice"), revisits.repartition(archives, "key", "slice")
+    return dealt.join(revisits.hint("shuffle_hash"), ["key", "slice"], "left").drop("key", "slice")
 
 
 def _record(page_id: int | None, url: str | None, html: str, digest: str, refers_to: int | None) -> bytes:
@@ -104,10 +112,12 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> str:
     A null html is an empty payload; a null url leaves the header out. An empty table leaves a folder without records.
     """
     spark = pages.sparkSession
-    short = pages.where(F.length("html") <= SAMPLE_CHARS)
-    sample = first_by_hash(short, SAMPLE_RECORDS, short.count(), "page_id", "url", "html").select(
-        "page_id", "url", "html", base32_sha1("html").alias("digest")
-    )
+    # Where in a long payload the piece begins is up to a hash, so the dictionary knows more than heads of pages.
+    start = F.pmod(F.xxhash64("html", F.lit(1)), F.greatest(F.lit(1), F.length("html") - SAMPLE_CHARS + 1)).cast("int") + 1
+    piece = F.when(F.length("html") <= SAMPLE_CHARS, F.col("html")).otherwise(F.substring("html", start, F.lit(SAMPLE_CHARS)))
+    filled = pages.where("html is not null")
+    drawn = first_by_hash(filled, SAMPLE_RECORDS, filled.count(), "page_id", "url", "html")
+    sample = drawn.select("page_id", "url", piece.alias("html")).select("page_id", "url", "html", base32_sha1("html").alias("digest"))
     shared = spark.sparkContext.broadcast(
         train_dictionary([_record(r["page_id"], r["url"], r["html"], r["digest"], None) for r in sample.collect()])
     )

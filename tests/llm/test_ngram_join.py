@@ -129,3 +129,11 @@ def test_components(spark):
     got = {r.id: r.component_id for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got.get(n, n) == low for n, low in leader.items())
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_words_longer_than_a_group_of_multipliers(spark):
+    """Bytes that stand 64, 128 or 64,000 apart change places, and texts without spaces."""
+    docs = [(1, "a" + "m" * 63 + "b"), (2, "b" + "m" * 63 + "a"), (3, "a" + "m" * 127 + "b"), (4, "b" + "m" * 127 + "a")]
+    docs += [(5, "x" + "日本語" * 21_333 + "y"), (6, "y" + "日本語" * 21_333 + "x"), (7, "http://e.example/" + "q/" * 90 + "a"), (8, "http://e.example/" + "q/" * 90 + "a")]
+    compare(spark, docs)
+    assert len({shingles(text).tobytes() for _, text in docs}) == 7

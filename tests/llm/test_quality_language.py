@@ -7,7 +7,9 @@ import zlib
 import numpy as np
 
 from fundlake.llm import quality
-from fundlake.llm.language import Compressors, decide, identify, learn, letters
+import zstandard
+
+from fundlake.llm.language import LEVEL, SECOND_LEVEL, SECOND_LOOK, Compressors, decide, identify, learn, letters
 from fundlake.llm.quality import FEATURES, describe, fit, score_quality
 
 SYLLABLES = {"aa": "ka lo mi ta re su".split(), "bb": "schu gra ung eit zwo pfe".split(), "cc": "eau oix ille que ment tion".split()}
@@ -121,3 +123,38 @@ def test_sizes_cover_the_whole_text():
     tail = text_of("aa", 50, 2) + " " + text_of("bb", 3000, 3)
     assert decide(press.langs, press.sizes(letters(tail)))[0] == "bb"
     assert decide(["a", "b"], [5, 5])[0] == "a"
+
+
+def test_texts_without_a_letter_have_no_language(spark):
+    texts = ["½ ²³", "Ⅷ ⅻ", "１２ _ __", "😀 🎉", "́̈", "①②"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    contents = {lang: [text_of(lang, 500, 1).encode()] for lang in ("aa", "bb")}
+    assert {(r.lang_pred, r.score) for r in identify(df, contents).collect()} == {("und", 0.0)}
+    assert [letters(t) for t in ("हिन्दी ½", "x² Ⅷ y", "été", "𝒜b 😀c", "a_b")] == ["हिन्दी", "x y", "été", "𝒜b c", "a b"]
+
+
+def test_the_smallest_size_over_all_dictionaries_is_chosen(spark):
+    """Against plain calls of the compressor, block by block, with every dictionary."""
+    contents = {lang: [text_of(lang, 800, k).encode() for k in (1, 2)] for lang in ("aa", "bb", "cc")}
+    docs = [(i, text_of(["aa", "bb", "cc"][i % 3], 3 + 7 * i, 50 + i)) for i in range(40)]
+    found = {r.doc_id: r.lang_pred for r in identify(spark.createDataFrame(docs, "doc_id long, text string"), contents).collect()}
+
+    def size(text, dictionary, level):
+        data = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        press = zstandard.ZstdCompressor(level=level, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False)
+        raw = letters(text).encode()
+        return sum(len(press.compress(raw[at : at + 2048])) for at in range(0, len(raw), 2048))
+
+    for doc_id, text in docs:
+        first = {lang: size(text, own[0], LEVEL) for lang, own in contents.items()}
+        low, high = sorted(first.values())[:2]
+        if (high - low) / high < SECOND_LOOK:
+            first = {lang: sum(size(text, d, SECOND_LEVEL) for d in own) for lang, own in contents.items()}
+        assert found[doc_id] == min(first, key=lambda lang: (first[lang], lang))
+
+
+def test_a_language_of_any_size_is_learned_from_few_rows(spark):
+    """The rows that are ordered per language are about twice those wanted, not the language's rows."""
+    docs = [(i, text_of("aa", 5, i % 50), "aa") for i in range(30_000)] + [(40_000 + i, text_of("bb", 30, i), "bb") for i in range(5)] + [(7, "ka lo", "cc")] * 2000
+    contents = learn(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    assert sorted(contents) == ["aa", "bb", "cc"] and contents["cc"] == [b"ka lo"]

@@ -101,3 +101,16 @@ def test_minimisers_and_packed_strings(monkeypatch):
         assert start == at and 0 < count <= 5 and packed.split() == words.split()[start : start + count + 49]
         at += count
     assert at == 451
+
+
+def test_columns_with_the_names_of_results_and_helpers(spark):
+    pick = random.Random(9)
+    passage = prose(pick, 60)
+    docs = [(1, passage), (2, passage + " more"), (3, None)]
+    names = ("n_words", "n_removed", "kept_text", "passages", "key", "start", "stop", "own_id", "odd name")
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    df = spark.createDataFrame([(*d, *(f"{n}!" for n in names)) for d in docs], schema)
+    found = remove_repeated(df)
+    assert found.columns == ["doc_id", "text", *names[3:], "n_words", "n_removed", "kept_text"]
+    assert sorted(map(tuple, found.select("doc_id", "n_words", "n_removed", "kept_text").collect())) == brute_force(docs, 50)
+    assert {tuple(r) for r in found.select(*(f"`{n}`" for n in names[3:])).collect()} == {tuple(f"{n}!" for n in names[3:])}

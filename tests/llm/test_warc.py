@@ -8,6 +8,7 @@ from uuid import uuid4
 import pytest
 import zstandard
 
+from fundlake.llm import warc
 from fundlake.llm.warc import DICTIONARY_FRAME, read_archives, records_of, write_archives
 
 PAGES = [
@@ -74,3 +75,30 @@ def test_no_pages_and_damage(spark, tmp_path):
     assert read_archives(spark, write_archives(empty, f"{tmp_path}/none")).collect() == []
     with pytest.raises(ValueError):
         list(records_of(zstandard.compress(b"WARC/1.1\r\nContent-Length: 50\r\n\r\nshort")))
+
+
+def test_long_pages_make_a_dictionary_too(spark, tmp_path):
+    pages = [(k, "u", "".join(f"<div class='item{k}'>entry {k * j} of the catalogue</div>" for j in range(400))) for k in range(40)]
+    folder = write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), f"{tmp_path}/long")
+    rows = read_archives(spark, folder).collect()
+    assert sorted((r.page_id, r.payload.decode()) for r in rows) == [(k, html) for k, _, html in pages]
+    for path in tmp_path.glob("long/*.warc.zst"):
+        assert struct.unpack_from("<I", path.read_bytes()) == (DICTIONARY_FRAME,)
+
+
+def test_rows_without_an_id_are_dealt_to_many_archives(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "SAME_ROWS", 50)
+    pages = [(None, f"u{k}", "equal") for k in range(900)] + [(7, "v", "twice")] * 300 + [(k, "w", "equal") for k in range(1000, 1100)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(6)
+    dealt = warc.with_revisits(df).selectExpr("*", "spark_partition_id() part")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = [r.n for r in dealt.where("page_id is null").groupBy("part").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(parts) == 900 and max(parts) < 600
+    rows = read_archives(spark, write_archives(df, f"{tmp_path}/many")).collect()
+    assert len(rows) == len(pages)
+    assert all((r.record_type, r.refers_to) == ("revisit", 1099) for r in rows if r.page_id is None)
+    assert sum(r.page_id == 7 and r.record_type == "response" for r in rows) == 300
+    assert [r.page_id for r in rows if r.record_type == "response" and r.page_id != 7] == [1099]
