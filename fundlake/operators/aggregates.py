@@ -67,14 +67,19 @@ def exam_codes(exams: DataFrame) -> list[str]:
 
 
 def exam_pivot(exams: DataFrame, codes: list[str] | None = None) -> DataFrame:
-    """Columns ``GEO_{code}_{measure}``: highest marks and first exemption per enrolment and exam code."""
+    """Columns ``GEO_{code}_{measure}``: highest marks and first exemption per enrolment and exam code.
+
+    Rows are reduced to one per enrolment and code where they are read, and only those are shuffled and turned.
+    """
     codes = exam_codes(exams) if codes is None else codes
     source, short = EXAM_EXEMPTION
     keyed = exams.where(all_filled(ENROLMENT_KEY)).withColumn(
         "_code", F.concat(F.lit("GEO_"), F.coalesce(EXAM_CODE, F.lit("null")))
     )
+    earliest = F.min(F.struct(VOLGORDE, source)).getField(source)
+    reduced = keyed.groupBy(*ENROLMENT_KEY, "_code").agg(*[F.max(mark).alias(mark) for mark in EXAM_MARKS], earliest.alias(short))
     return (
-        keyed.groupBy(*ENROLMENT_KEY)
+        reduced.groupBy(*ENROLMENT_KEY)
         .pivot("_code", [f"GEO_{code}" for code in codes])
-        .agg(*[F.max(mark).alias(mark) for mark in EXAM_MARKS], F.min_by(source, VOLGORDE).alias(short))
+        .agg(*[F.max(name).alias(name) for name in (*EXAM_MARKS, short)])
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -91,9 +92,28 @@ def work_area(spark: SparkSession) -> Iterator[str]:
         remove(spark, folder)
 
 
+_left: set[tuple[str, str]] = set()
+
+
+def application_folder(spark: SparkSession) -> str:
+    """Folder for what queries stage outside a run: it is removed when the program ends, as results may read it until then."""
+    folder = f"{work_dir(spark)}/fundlake/{spark.sparkContext.applicationId}"
+
+    def clear() -> None:
+        try:
+            remove(spark, folder)
+        except Exception:  # the session is gone; nothing can be removed through it
+            return
+
+    if (key := (spark.sparkContext.applicationId, folder)) not in _left:
+        _left.add(key)
+        atexit.register(clear)
+    return folder
+
+
 def work_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: later steps start from files, not from the lineage."""
     spark = df.sparkSession
-    path = f"{_run_folder.get() or f'{work_dir(spark)}/fundlake'}/{name}-{uuid4().hex}"
+    path = f"{_run_folder.get() or application_folder(spark)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
