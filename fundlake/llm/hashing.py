@@ -30,8 +30,10 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes = np.frombuffer(data + b" ", np.uint8)
     end = np.flatnonzero(codes == 32)
     first = np.concatenate([[0], end[:-1] + 1])
-    place = np.arange(len(codes)) - np.repeat(first, end + 1 - first)
-    near = PLACES[np.minimum(place, 63)]
+    place = np.arange(len(codes), dtype=np.int32) - np.repeat(first.astype(np.int32), end + 1 - first)
     far = np.flatnonzero(place > 63)  # words beyond 64 bytes: addresses, and text without spaces
+    near = PLACES[np.minimum(place, 63)]
     near[far] = multipliers(place[far])
-    return first, end, mix(np.add.reduceat(BYTES[codes] * near, first))
+    del place
+    near *= BYTES[codes]
+    return first, end, mix(np.add.reduceat(near, first))

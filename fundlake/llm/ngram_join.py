@@ -34,6 +34,8 @@ WORDS = 5
 TOGETHER, BYTES_PER_SIGNATURE = 1_200_000, 13
 #: Nodes in a block on average, at most.
 BLOCK = 512
+#: Shingles that are compared at once; larger blocks are compared piece by piece.
+SHINGLES_TOGETHER = 1_000_000
 #: Cost of an accidental agreement in signatures, and the chance that a shingle is one that many texts have.
 ACCIDENT, COMMON = 1000.0, 0.02
 #: Channel of single shingles for sets with too few segments.
@@ -354,6 +356,30 @@ def similar(ids: list, sets: list[np.ndarray], split: int, percent: int = 75) ->
     return links
 
 
+def _pieces(sets: list[np.ndarray], begin: int, end: int) -> list[tuple[int, int]]:
+    """Ranges of ``sets`` from ``begin`` to ``end`` of at most ``SHINGLES_TOGETHER`` shingles, or of one set."""
+    cuts, size = [begin], 0
+    for k in range(begin, end):
+        if size and size + len(sets[k]) > SHINGLES_TOGETHER:
+            cuts.append(k)
+            size = 0
+        size += len(sets[k])
+    return [(a, b) for a, b in zip(cuts, [*cuts[1:], end], strict=True) if a < b]
+
+
+def similar_pieces(ids: list, sets: list[np.ndarray], split: int) -> list[tuple]:
+    """As ``similar``, with a bounded number of shingles in hand; the links may be more than span the groups."""
+    whole = not split
+    left, right = _pieces(sets, 0, split or len(sets)), _pieces(sets, split, len(sets))
+    links = []
+    for k, (a, b) in enumerate(left):
+        if whole:
+            links += similar(ids[a:b], sets[a:b], 0)
+        for c, d in right[k + 1 :] if whole else right:
+            links += similar(ids[a:b] + ids[c:d], sets[a:b] + sets[c:d], b - a)
+    return links
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each pair of blocks; rows come sorted by pair and side."""
     rows = (row for batch in batches for row in zip(*(batch.column(n) for n in ("a", "b", "side", "doc_id", "shingles")), strict=True))
@@ -363,7 +389,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split += side.as_py() == 0
             ids.append(doc_id.as_py())
             sets.append(np.frombuffer(values.as_py(), U64))
-        links = similar(ids, sets, split if split < len(sets) else 0)
+        links = similar_pieces(ids, sets, split if split < len(sets) else 0)
         yield pa.RecordBatch.from_arrays([pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 

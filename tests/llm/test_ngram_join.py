@@ -137,3 +137,26 @@ def test_words_longer_than_a_group_of_multipliers(spark):
     docs += [(5, "x" + "日本語" * 21_333 + "y"), (6, "y" + "日本語" * 21_333 + "x"), (7, "http://e.example/" + "q/" * 90 + "a"), (8, "http://e.example/" + "q/" * 90 + "a")]
     compare(spark, docs)
     assert len({shingles(text).tobytes() for _, text in docs}) == 7
+
+
+def test_blocks_are_compared_in_pieces(monkeypatch):
+    pick = np.random.default_rng(4)
+    base = np.sort(pick.choice(10**6, 200, replace=False)).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[pick.random(200) > 0.08], pick.choice(10**6, 6).astype(np.uint64)])) for _ in range(40)]
+    sets += [np.sort(pick.choice(10**6, 150, replace=False)).astype(np.uint64) for _ in range(10)]
+    ids = list(range(50))
+
+    def groups(links):
+        own = dict(zip(ids, ids, strict=True))
+        for a, b in links:
+            low, high = sorted((own[a], own[b]))
+            own = {k: low if v == high else v for k, v in own.items()}
+        return own
+
+    for split in (0, 20):
+        monkeypatch.setattr(ngram_join, "SHINGLES_TOGETHER", 10**6)
+        whole = ngram_join.similar_pieces(ids, sets, split)
+        assert whole == similar(ids, sets, split)
+        for together in (1, 500, 2000):
+            monkeypatch.setattr(ngram_join, "SHINGLES_TOGETHER", together)
+            assert groups(ngram_join.similar_pieces(ids, sets, split)) == groups(whole)
