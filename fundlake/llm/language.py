@@ -76,10 +76,10 @@ def learn(docs: DataFrame) -> dict[str, list[bytes]]:
     # A share of each language's rows by the hash of their id leaves about twice as many as are wanted, whatever it has;
     # copies of one row are one.
     counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    steps = 1 << 30
-    share = counts.select("lang", F.ceil(F.lit(float((2 * SAMPLE_ROWS + 100) * steps)) / F.col("rows")).alias("share"))
-    # As many rows as languages, whose dictionaries all go to every task later on.
-    drawn = usable.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < F.col("share"))
+    share = counts.select("lang", F.least(F.lit(1.0), F.lit(2.0 * SAMPLE_ROWS + 100) / F.col("rows")).alias("share"))
+    # As many rows as languages, whose dictionaries all go to every task later on. The lowest hashes are drawn.
+    lowest = F.lit(-(2.0**63)) + F.col("share") * F.lit(2.0**64)
+    drawn = usable.join(F.broadcast(share), "lang").where(F.xxhash64("doc_id").cast("double") <= lowest)
     pieces = drawn.select("lang", "doc_id", F.substring(F.regexp_replace("text", _BEFORE_LETTERS, ""), 1, SAMPLE_CHARS).alias("text")).distinct()
     by_hash = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     sample = pieces.withColumn("n", F.row_number().over(by_hash)).where(f"n <= {SAMPLE_ROWS}")
