@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake.columns import LEVERING
 from fundlake.operators.intervals import first_day
+from fundlake.session import work_table
 from fundlake.sources.discovery import family_of, stem
 
 # File names, upper case: the family's prefix, the school, and two numbers (per family: first and last day of
@@ -48,15 +49,42 @@ def superseded(deliveries: DataFrame) -> DataFrame:
     a school or a period replace nothing and are not replaced.
     """
     age = F.struct(F.coalesce("aanmaak", F.lit("0001-01-01").cast("date")), "eind", "begin", LEVERING)
+    school, period = ["bestandstype", "brin"], ["begin", "eind"]
+    deliveries = work_table(deliveries, "leveringen")  # names are decoded once
     usable = deliveries.where("brin IS NOT NULL AND begin IS NOT NULL AND eind IS NOT NULL")
-    named = usable.select("bestandstype", "brin", "begin", "eind", LEVERING, age.alias("leeftijd"))
-    other = named.select("bestandstype", "brin", *[F.col(c).alias(f"_{c}") for c in ("begin", "eind", LEVERING, "leeftijd")])
-    # A school has a handful of deliveries a year; the pairs of one school are cut to the newest where they are made.
-    overlaps = (F.col("_begin") <= F.col("eind")) & (F.col("begin") <= F.col("_eind")) & (F.col("_leeftijd") > F.col("leeftijd"))
-    newest = named.join(other, ["bestandstype", "brin"]).where(overlaps).groupBy("bestandstype", LEVERING).agg(
-        F.max_by(f"_{LEVERING}", "_leeftijd").alias("vervangen_door")
+    named = usable.select(*school, *period, LEVERING, age.alias("leeftijd"))
+    newest = newest_overlapping(work_table(named.groupBy(*school, *period).agg(F.max("leeftijd").alias("leeftijd")), "perioden"), school)
+    newer = named.join(newest, [*school, *period]).where(F.col("nieuwste") > F.col("leeftijd")).groupBy("bestandstype", LEVERING).agg(
+        F.max("nieuwste").getField(LEVERING).alias("vervangen_door")
     )
-    return deliveries.join(newest, ["bestandstype", LEVERING], "left").select(*deliveries.columns, "vervangen_door")
+    return deliveries.join(newer, ["bestandstype", LEVERING], "left").select(*deliveries.columns, "vervangen_door")
+
+
+def newest_overlapping(periods: DataFrame, school: list[str]) -> DataFrame:
+    """For each period (school, begin, eind) ``nieuwste``: the highest leeftijd of a period of the school that overlaps.
+
+    No pair of periods is made. Days are dealt to blocks of 1, 2, 4 ... days; a period is in the blocks of its first day, and
+    the days up to a last day are at most one block of each size. In a block, ordered by last day from the latest on, a
+    running maximum is the highest leeftijd of those that end on a day or later.
+    """
+    first, last = periods.agg(F.min("begin"), F.max("begin")).first()
+    if first is None:
+        return periods.withColumnRenamed("leeftijd", "nieuwste")
+    since = lambda c: F.date_diff(c, F.lit(first))
+    days = (last - first).days + 1
+    block, sizes = [*school, "maat", "blok"], periods.select("*", F.explode(F.sequence(F.lit(0), F.lit(days.bit_length() - 1))).alias("maat"))
+    blocked = lambda day, size: F.expr(f"shiftright({day}, {size})")
+    begun = sizes.withColumn("dag", since("begin")).select(
+        *school, "maat", blocked("dag", "maat").alias("blok"), F.col("eind").alias("tot"), F.lit(0).alias("vraag"), "leeftijd",
+        F.lit(None).cast("date").alias("begin"), F.lit(None).cast("date").alias("eind"),
+    )
+    asked = sizes.withColumn("dag", F.least(since("eind") + 1, F.lit(days))).where("dag > 0 AND shiftright(dag, maat) % 2 = 1").select(
+        *school, "maat", (blocked("dag", "maat") - 1).alias("blok"), F.col("begin").alias("tot"), F.lit(1).alias("vraag"),
+        F.lit(None).cast(periods.schema["leeftijd"].dataType).alias("leeftijd"), "begin", "eind",
+    )
+    order = Window.partitionBy(*block).orderBy(F.desc("tot"), "vraag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = begun.unionByName(asked).withColumn("nieuwste", F.max("leeftijd").over(order)).where("vraag = 1 AND nieuwste IS NOT NULL")
+    return found.groupBy(*school, "begin", "eind").agg(F.max("nieuwste").alias("nieuwste"))
 
 
 def named_deliveries(files: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Totals, validities, code lists, names and codings on small tables."""
 
 import datetime as dt
+import random
+import time
 from decimal import Decimal
 
 from conftest import RO_PIPE
@@ -131,3 +133,30 @@ def test_reports_on_a_landing_zone(spark, tmp_path):
         ("h15/RO_99ZZ_20240801_20250731", "h15/RO_99ZZ_20240801_20251231"), ("h15/RO_99ZZ_20240801_20251231", None)
     ]
     assert rows(stack_store(spark, f"{tmp_path}/p", harmonised=True)["PER"]) == rows(stack_store(spark, f"{tmp_path}/p")["PER"])
+
+
+def test_many_deliveries_of_one_school_make_no_pairs(spark):
+    # Periods of any length, also those that end before they begin; labels that repeat; and 60,000 more deliveries of one
+    # school, which would be nearly two thousand million pairs.
+    draw = random.Random(5)
+    day = lambda: d("2001-01-01") + dt.timedelta(draw.randrange(40))
+    made = [(f"l{draw.randrange(250)}", draw.choice("rt"), draw.choice("AB"), day(), day(), draw.choice([None, day()])) for _ in range(300)]
+    schema = "levering string, bestandstype string, brin string, begin date, eind date, aanmaak date"
+    age = lambda r: (r[5] or dt.date.min, r[4], r[3], r[0])
+    expected = {}
+    for r in made:
+        over = [age(o) for o in made if o[1:3] == r[1:3] and o[3] <= r[4] and r[3] <= o[4] and age(o) > age(r)]
+        if over:
+            expected[r[1], r[0]] = max(over + [expected[r[1], r[0]]] if (r[1], r[0]) in expected else over)
+    many = spark.range(60_000).selectExpr(
+        "concat('m', lpad(id, 5, '0')) AS levering", "'r' AS bestandstype", "'C' AS brin", "date_add(DATE'2001-01-01', cast(id % 900 AS int)) AS begin",
+        "date_add(DATE'2001-01-01', cast(id % 900 AS int) + 300) AS eind", "date_add(DATE'2004-01-01', cast(id DIV 900 AS int)) AS aanmaak",
+    )
+    start = time.monotonic()
+    found = superseded(spark.createDataFrame(made, schema).unionByName(many)).collect()
+    assert time.monotonic() - start < 60
+    assert {(r.bestandstype, r.levering): r.vervangen_door for r in found if r.brin != "C" and r.vervangen_door} == {k: v[3] for k, v in expected.items()}
+    # Of the newest day of making, 600 deliveries have periods from the first 600 days; the latest that overlaps counts.
+    of_c = {r.levering: r.vervangen_door for r in found if r.brin == "C"}
+    assert len(found) == 60_300 and len(of_c) == 60_000
+    assert of_c["m00000"] == "m59700" and of_c["m00500"] == "m59999" and of_c["m59999"] is None and of_c["m00899"] == "m59999"
