@@ -30,14 +30,22 @@ LINE_POSITION = (
 )
 RESULTS = {"A": "Behaald", "N": "Niet behaald", "R": "BEHAALD"}
 
+#: Line items, with the lines of text or the records made of them, that a task takes where a table is dealt.
+ROWS_PER_TASK = 200_000
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows dealt by key: a given table is one file of one row group, which would be rendered by one task."""
-    return df.repartition(key)
+def spread(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """Rows dealt by key: a given table is one file of one row group, which would be rendered by one task.
+
+    ``rows`` are those that come of it. The parts grow with them, so that what a task sorts, joins or renders does not.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = -(-rows // ROWS_PER_TASK)
+    return df.repartition(parts, key) if parts > least else df.repartition(key)
 
 
 class Source:
@@ -50,10 +58,15 @@ class Source:
     def __init__(self, spark: SparkSession, sf: str, staged: bool = False):
         self.spark, self.sf, self.staged = spark, sf, staged
 
+    @cached_property
+    def rows(self) -> int:
+        """Line items, which the file tells without reading them. Orders are dealt alike, so the join finds both in place."""
+        return table(self.spark, self.sf, "lineitem").count()
+
     @cached_property
     def orders(self) -> DataFrame:
         """Orders with delivery, person and enrolment keys. Every fifth customer is known by another number."""
-        return spread(table(self.spark, self.sf, "orders"), "o_orderkey").selectExpr(
+        return spread(table(self.spark, self.sf, "orders"), "o_orderkey", self.rows).selectExpr(
             "*",
             "cast(year(o_orderdate) AS string) AS levering",
             "CASE WHEN o_custkey % 5 != 0 THEN cast(o_custkey AS string) END AS Burgerservicenummer",
@@ -73,7 +86,7 @@ class Source:
             "Onderwijsnummer",
             "Inschrijvingvolgnummer",
         )
-        items = spread(table(self.spark, self.sf, "lineitem"), "l_orderkey")
+        items = spread(table(self.spark, self.sf, "lineitem"), "l_orderkey", self.rows)
         joined = items.withColumn("verzonden", F.col("l_shipdate").cast("date")).join(keys, "l_orderkey")
         lines = work_table(joined, "regels-per-order") if self.staged else joined
         return lines.withColumn(VOLGORDE, F.struct(*LINE_POSITION))
