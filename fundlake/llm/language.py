@@ -2,8 +2,8 @@
 
 Every language has a raw-content dictionary for zstandard: texts of that language, from labelled rows. A text is
 compressed with each dictionary, block by block, and belongs to the language whose dictionary makes it smallest. Where
-the smallest and the next are close, it is compressed harder and with several dictionaries of each language, whose sizes
-are added up. Where they still are close, the text is rejected: ``lang`` is ``und`` and only ``lang_pred`` has the best
+the smallest and the next are close, in parts of the size and in bytes, it is compressed harder and with several
+dictionaries of each language, whose sizes are added up. Where they still are close, the text is rejected: ``lang`` is ``und`` and only ``lang_pred`` has the best
 guess.
 """
 
@@ -30,6 +30,9 @@ SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARIES, DICTIONARY_BYTES = 400, 4_000, 3, 96 *
 BLOCK = 2048
 #: Compression levels of the first and the second look, and the margin under which there is a second one.
 LEVEL, SECOND_LEVEL, SECOND_LOOK = 5, 12, 0.15
+#: Bytes between the smallest and the next size from which on there is no second look: the score is 1 but for 1e-13 then. The
+#: margin of a long text says little about it, as its bytes add up.
+CERTAIN_BYTES = 64
 #: What stands before the first letter, as Java's expressions have it.
 _BEFORE_LETTERS = r"^[^\p{L}]+"
 _HAS_LETTER = r"\p{L}"
@@ -125,6 +128,14 @@ def decide(langs: list[str], sizes: list[float], temper: float = 2.0) -> tuple[s
     return langs[best], score, (min(others) - sizes[best]) / min(others) if others else 1.0
 
 
+def is_settled(sizes: list[float], margin: float, narrow: float) -> bool:
+    """Whether the first look is enough: a wide margin, or one that is not narrow and many bytes."""
+    if margin >= SECOND_LOOK:
+        return True
+    best, following = sorted(sizes)[:2]
+    return margin >= narrow and following - best >= CERTAIN_BYTES
+
+
 def identify(docs: DataFrame, contents: dict[str, list[bytes]], narrow: float = 0.02) -> DataFrame:
     """doc_id, lang_pred, score, lang and margin of every whole text.
 
@@ -139,8 +150,9 @@ def identify(docs: DataFrame, contents: dict[str, list[bytes]], narrow: float =
         second = Compressors(shared.value, SECOND_LEVEL)
 
         def look(words: str) -> tuple[str, float, float]:
-            found = decide(first.langs, first.sizes(words))
-            return found if found[2] >= SECOND_LOOK else decide(second.langs, second.sizes(words))
+            sizes = first.sizes(words)
+            found = decide(first.langs, sizes)
+            return found if is_settled(sizes, found[2], narrow) else decide(second.langs, second.sizes(words))
 
         for batch in batches:
             found = []

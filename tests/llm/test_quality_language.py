@@ -9,7 +9,7 @@ import numpy as np
 from fundlake.llm import quality
 import zstandard
 
-from fundlake.llm.language import LEVEL, SECOND_LEVEL, SECOND_LOOK, Compressors, decide, identify, learn, letters
+from fundlake.llm.language import LEVEL, SECOND_LEVEL, SECOND_LOOK, Compressors, decide, identify, is_settled, learn, letters
 from fundlake.llm.quality import FEATURES, describe, fit, score_quality
 
 SYLLABLES = {"aa": "ka lo mi ta re su".split(), "bb": "schu gra ung eit zwo pfe".split(), "cc": "eau oix ille que ment tion".split()}
@@ -158,3 +158,10 @@ def test_a_language_of_any_size_is_learned_from_few_rows(spark):
     docs = [(i, text_of("aa", 5, i % 50), "aa") for i in range(30_000)] + [(40_000 + i, text_of("bb", 30, i), "bb") for i in range(5)] + [(7, "ka lo", "cc")] * 2000
     contents = learn(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
     assert sorted(contents) == ["aa", "bb", "cc"] and contents["cc"] == [b"ka lo"]
+
+
+def test_a_second_look_is_for_close_sizes_in_bytes_too():
+    """A long text that is 150 bytes smaller under one language is not compressed harder, though that is under 15 %."""
+    assert is_settled([1350.0, 1500.0], 0.1, 0.02) and is_settled([10.0, 20.0], 0.5, 0.02)
+    assert not is_settled([45.0, 50.0], 0.1, 0.02)  # few bytes
+    assert not is_settled([19_900.0, 20_000.0], 0.005, 0.02)  # narrow
