@@ -64,8 +64,13 @@ _counted: dict[tuple, tuple[DataFrame, DataFrame | None]] = {}
 
 def counted_hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame | None:
     """``hot_keys`` of a table, or None without any. A table is counted once per key; its counts combine in the tasks
-    that read it, so only one row per key and task is shuffled."""
+    that read it, so only one row per key and task is shuffled. Where it was counted by some of the columns and no key was
+    hot, none is by more columns: their rows are part of the rows of one of those keys, with nulls as with values."""
     known = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(on), hot_rows)
+    for (application, table, columns, limit), (counted, hot) in _counted.items():
+        coarser = (application, table, limit) == (known[0], known[1], hot_rows) and set(columns) < set(on)
+        if coarser and hot is None and counted.sameSemantics(df):
+            return None
     if known not in _counted or not _counted[known][0].sameSemantics(df):
         found = hot_keys(df, on, hot_rows).collect()  # rows / hot_rows of them at most
         hot = df.sparkSession.createDataFrame(found, f"{_KEY_HASH} long, {_SLICES} int") if found else None

@@ -142,3 +142,16 @@ def test_wide_sides_are_not_broadcast(spark, left, monkeypatch):
     lookup = spark.createDataFrame([("L", "hot", "x" * 50)], "levering string, k string, n string")
     assert "BroadcastHashJoin" not in lookup_join(left, lookup, ON)._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in lookup_join(left, lookup, ON)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_finer_key_is_not_counted_after_a_coarser_one_without_hot_keys(left, monkeypatch):
+    counted = []
+    monkeypatch.setattr(joins, "_counted", {})
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: counted.append(a[1]) or hot_keys(*a))
+    assert joins.counted_hot_keys(left, ["levering"], 600) is None
+    assert joins.counted_hot_keys(left, ["levering", "k"], 600) is None and counted == [["levering"]]
+    # With a hot key, another limit or a key of other columns it is counted.
+    assert joins.counted_hot_keys(left, ["levering"], 599).count() == 1
+    assert joins.counted_hot_keys(left, ["levering", "k"], 599) is None
+    assert joins.counted_hot_keys(left, ["k"], 20).count() == 2
+    assert counted == [["levering"], ["levering"], ["levering", "k"], ["k"]]
