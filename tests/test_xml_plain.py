@@ -1,0 +1,116 @@
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from fundlake.columns import VOLGORDE
+from fundlake.sources.tbgi import CORRUPT, XML_OPTIONS, parse_records, record_schema
+from fundlake.sources.xml_plain import nodes_of, plain_records, take_apart
+
+NIL = '<Onderwijsnummer xsi:nil="true"/>'
+DATE = (
+    "<Teldatum><Teldatum>2024-10-01</Teldatum><BBLBOLFactor>0.5</BBLBOLFactor><BekostigingsrelevanteBPV>"
+    "<Volgnummer>3</Volgnummer></BekostigingsrelevanteBPV><Signaal><Signaalcode>S1</Signaalcode>"
+    "<Parameter><Parameternaam>een</Parameternaam></Parameter><Parameter><Parameternaam>twee</Parameternaam></Parameter>"
+    "</Signaal><Signaal><Signaalcode>S2</Signaalcode></Signaal></Teldatum>"
+)
+PLAIN = [
+    f"<BRIN>B1</BRIN>{NIL}<Inschrijvingvolgnummer>001</Inschrijvingvolgnummer>",
+    f"<BRIN>B2</BRIN>{DATE}",
+    f"<BRIN>B3</BRIN>{DATE}{DATE}<Onderwijsnummer/>",
+    f"{DATE}<BRIN></BRIN>",
+    "\n  <BRIN>B 5</BRIN>\n\t<Teldatum>\n<Teldatum>2024-10-01</Teldatum>\n</Teldatum>\n",
+    "<Teldatum><Signaal></Signaal></Teldatum>",
+    "<Teldatum></Teldatum>",
+    "<BRIN>a/b \"c\" 'd' = e</BRIN>",
+]
+ODD = [
+    "",
+    "<BRIN>a &amp; b</BRIN>",
+    "<BRIN>café</BRIN>",
+    "<BRIN><![CDATA[<BRIN>x</BRIN>]]></BRIN>",
+    "<BRIN>a<!-- c -->b</BRIN>",
+    "<!-- <BRIN>x</BRIN> --><BRIN>B</BRIN>",
+    "<BRIN>a</BRIN><BRIN>b</BRIN>",
+    "<brin>a</brin>",
+    "<BRIN> a </BRIN>",
+    "<BRIN>  </BRIN>",
+    "<BRIN>a\r\nb</BRIN>",
+    "<BRIN>a > b</BRIN>",
+    "<BRIN soort=\"x\">a</BRIN>",
+    "<Onbekend>a</Onbekend><BRIN>B</BRIN>",
+    "<Onbekend><BRIN>a</BRIN></Onbekend>",
+    "<BRIN>a<Onderwijsnummer>b</Onderwijsnummer></BRIN>",
+    "text<BRIN>a</BRIN>",
+    "<Teldatum/><BRIN>a</BRIN>",
+    "<Teldatum>x</Teldatum>",
+    "<Teldatum><Teldatum><Teldatum>x</Teldatum></Teldatum></Teldatum>",
+    "<Teldatum><BRIN>a</BRIN></Teldatum>",
+    "<Signaal><Signaalcode>a</Signaalcode></Signaal>",
+    "<BRIN>a</Onderwijsnummer>",
+    "<BRIN>a",
+    "<BRIN>a</BRIN></Inschrijving><Inschrijving>",
+    "<BRIN>a</BRIN",
+    "<Inschrijving><BRIN>a</BRIN></Inschrijving>",
+]
+
+
+def records(parts):
+    whole = [f"<Inschrijving>{part}</Inschrijving>" for part in parts]
+    return [*whole, *(["<Inschrijving/>", "", None, "x", " <Inschrijving><BRIN>a</BRIN></Inschrijving> "] if parts is ODD else [])]
+
+
+def taken(texts):
+    schema = record_schema("Inschrijving")
+    return plain_records(pa.array(texts, pa.string()), schema, nodes_of("Inschrijving", schema, CORRUPT), {})
+
+
+def by_reader(df):
+    read = F.from_xml("xml", record_schema("Inschrijving"), {**XML_OPTIONS, "rowTag": "Inschrijving"})
+    return df.select("levering", VOLGORDE, read.alias("r")).select("levering", VOLGORDE, "r.*")
+
+
+@pytest.fixture(scope="module")
+def mixed(spark):
+    texts = records(PLAIN) * 3 + records(ODD) + records(PLAIN[::-1])
+    rows = [("L", (0, i, 0), text) for i, text in enumerate(texts)]
+    return spark.createDataFrame(rows, f"levering string, {VOLGORDE} struct<blok: long, regel: long, deel: long>, xml string")
+
+
+def test_records_are_those_of_the_xml_reader(mixed):
+    found, wanted = parse_records(mixed, "Inschrijving"), by_reader(mixed)
+    assert found.schema == wanted.schema
+    assert found.orderBy(VOLGORDE).collect() == wanted.orderBy(VOLGORDE).collect()
+
+
+def test_a_column_that_cannot_be_null(spark, mixed):
+    texts = mixed.where("xml IS NOT NULL").select("levering", VOLGORDE, F.coalesce("xml", F.lit("")).alias("xml"))
+    assert not texts.schema["xml"].nullable
+    assert parse_records(texts, "Inschrijving").orderBy(VOLGORDE).collect() == by_reader(texts).orderBy(VOLGORDE).collect()
+
+
+def test_only_plain_records_are_taken_apart(spark, mixed):
+    assert taken(records(PLAIN))[0].tolist() == [True] * len(PLAIN)
+    assert not taken(records(ODD))[0][1:].any()
+
+
+def test_records_taken_apart_are_those_of_the_xml_reader(spark):
+    rows = [("L", (0, i, 0), text) for i, text in enumerate(records(PLAIN))]
+    df = spark.createDataFrame(rows, f"levering string, {VOLGORDE} struct<blok: long, regel: long, deel: long>, xml string")
+    wanted = [row.asDict(recursive=True) for row in by_reader(df).orderBy(VOLGORDE).drop("levering", VOLGORDE).collect()]
+    assert taken(records(PLAIN))[1].to_pylist() == wanted
+
+
+def test_bounded_chunks_and_rare_orders_give_the_same(monkeypatch):
+    from fundlake.sources import xml_plain
+
+    texts = records(PLAIN) * 5 + records(ODD)
+    schema = record_schema("Inschrijving")
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["xml"]).slice(1)
+    whole = [r for b in take_apart("Inschrijving", schema, CORRUPT)(iter([batch])) for r in b.to_pylist()]
+    monkeypatch.setattr(xml_plain, "CHUNK_BYTES", 900)
+    parts = [r for b in take_apart("Inschrijving", schema, CORRUPT)(iter([batch])) for r in b.to_pylist()]
+    assert parts == whole
+    monkeypatch.setattr(xml_plain, "MOST_SHAPES", 1)
+    few = [r for b in take_apart("Inschrijving", schema, CORRUPT)(iter([batch])) for r in b.to_pylist()]
+    assert all(a == b or (a["r"] is None and a["xml"] == text) for a, b, text in zip(few, whole, texts[1:], strict=True))
+    assert 0 < sum(row["r"] is None for row in whole) < sum(row["r"] is None for row in few) < len(few)
