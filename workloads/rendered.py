@@ -14,13 +14,24 @@ from fundlake.sources.files import children, rename
 from workloads.tables import Source
 
 EVEN = "cast(levering AS int) % 2 = 0"
-NOTATIONS = {"iso": "yyyy-MM-dd", "compact": "yyyyMMdd", "dutch": "d-M-yyyy"}
+
+
+def iso_day(column: str) -> str:
+    """SQL of a date as ``yyyy-MM-dd``, as a cast writes it; a formatter costs more."""
+    return f"cast({column} AS string)"
+
+
+NOTATIONS = {
+    "iso": iso_day("{0}"),
+    "compact": "date_format({0}, 'yyyyMMdd')",
+    "dutch": "concat(day({0}), '-', month({0}), '-', substring_index(cast({0} AS string), '-', 1))",
+}
 
 
 def day(column: str, notation: str | None = None) -> str:
     """SQL of a date as text, in a given notation or that of the year."""
     if notation:
-        return f"coalesce(date_format({column}, '{NOTATIONS[notation]}'), '')"
+        return f"coalesce({NOTATIONS[notation].format(column)}, '')"
     return f"CASE WHEN {EVEN} THEN {day(column, 'iso')} ELSE {day(column, 'dutch')} END"
 
 
@@ -107,13 +118,13 @@ def _count_date(number: int) -> str:
         for n in (1, 2)
     )
     parts = [
-        _element("Teldatum", f"date_format(date_add(verzonden, {number}), 'yyyy-MM-dd')"),
+        _element("Teldatum", iso_day(f"date_add(verzonden, {number})")),
         _element("Opleidingcode", "cast(l_partkey AS string)"),
         _element("BBLBOLFactor", "cast(cast(l_quantity AS bigint) AS string)"),
         _element("LeeftijdOpEenAugustusStudiejaar", "cast(l_linenumber AS string)"),
         "'<BekostigingsrelevanteBPV>'",
         _element("Volgnummer", "cast(l_suppkey AS string)"),
-        _element("DatumBegin", "date_format(verzonden, 'yyyy-MM-dd')"),
+        _element("DatumBegin", iso_day("verzonden")),
         "'</BekostigingsrelevanteBPV><Signaal>'",
         f"'<Signaalvolgnummer>{number}</Signaalvolgnummer>'",
         _element("Signaalcode", "l_returnflag"),
@@ -131,7 +142,7 @@ def enrolment_xml(src: Source) -> DataFrame:
         _element("Burgerservicenummer", "Burgerservicenummer"),
         _element("Onderwijsnummer", "Onderwijsnummer"),
         _element("Inschrijvingvolgnummer", "Inschrijvingvolgnummer"),
-        _element("DatumInschrijving", "date_format(verzonden, 'yyyy-MM-dd')"),
+        _element("DatumInschrijving", iso_day("verzonden")),
         dates,
     ]
     return src.lines.selectExpr(
@@ -147,7 +158,7 @@ def diploma_xml(src: Source) -> DataFrame:
         _element("BRIN", "concat('B', levering)"),
         _element("Burgerservicenummer", "Burgerservicenummer"),
         _element("Resultaatvolgnummer", "concat('R', o_orderkey)"),
-        _element("DatumBehaald", "date_format(dag, 'yyyy-MM-dd')"),
+        _element("DatumBehaald", iso_day("dag")),
         "'<Signaal><Signaalvolgnummer>9</Signaalvolgnummer>'",
         _element("Signaalcode", "o_orderpriority"),
         "'</Signaal>'",
