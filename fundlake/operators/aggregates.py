@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.columns import VOLGORDE
-from fundlake.operators.joins import all_filled
+from fundlake.operators.joins import all_filled, finest_first
 from fundlake.operators.keys import ENROLMENT_KEY
 
 # Exam measures, the short names of their pivot columns and the word for a passed elective.
@@ -17,15 +17,22 @@ PASSED = "BEHAALD"
 # End of fixed values.
 
 
-def _per_enrolment(df: DataFrame):
-    """Group by enrolment. Rows without a full key are left out: no enrolment row can match them."""
-    return df.where(all_filled(ENROLMENT_KEY)).groupBy(*ENROLMENT_KEY)
+def _per_enrolment(df: DataFrame, *measures: Column) -> DataFrame:
+    """Measures per enrolment. Rows without a full key are left out: no enrolment row can match them."""
+    keyed = df.where(all_filled(ENROLMENT_KEY))
+    if not measures:
+        return keyed.select(*ENROLMENT_KEY).distinct()
+    measured = keyed.groupBy(*finest_first(ENROLMENT_KEY)).agg(*measures)
+    # Names are quoted, as a pivot column has an exam code in its name.
+    names = [f"`{name.replace('`', '``')}`" for name in measured.columns[len(ENROLMENT_KEY) :]]
+    return measured.select(*ENROLMENT_KEY, *names)
 
 
 def placement_totals(placements: DataFrame) -> DataFrame:
     """Number of placements, total hours (0.0 when all are blank), first start and last actual end."""
     hours = F.col("Omvang").try_cast("double")
-    return _per_enrolment(placements).agg(
+    return _per_enrolment(
+        placements,
         F.count(F.lit(1)).alias("BPV_Aantal"),
         F.coalesce(F.sum(hours), F.lit(0.0)).alias("BPV_TotaalOmvang"),
         F.min("DatumBegin").alias("BPV_DatumBeginEerste"),
@@ -46,7 +53,8 @@ def elective_totals(electives: DataFrame, passed: str = "contains") -> DataFrame
         hit = F.trim(result) == PASSED
     else:
         raise ValueError(f"passed: 'contains' of 'exact', niet {passed!r}")
-    return _per_enrolment(electives).agg(
+    return _per_enrolment(
+        electives,
         F.count(F.lit(1)).alias("KZD_Aantal"),
         F.coalesce(F.sum(hit.cast("bigint")), F.lit(0)).alias("KZD_AantalBehaald"),
     )
@@ -54,7 +62,7 @@ def elective_totals(electives: DataFrame, passed: str = "contains") -> DataFrame
 
 def module_totals(modules: DataFrame) -> DataFrame:
     """Number of legally required modules."""
-    return _per_enrolment(modules).agg(F.count(F.lit(1)).alias("AMO_Aantal"))
+    return _per_enrolment(modules, F.count(F.lit(1)).alias("AMO_Aantal"))
 
 
 def exam_codes(exams: DataFrame) -> list[str]:
@@ -69,17 +77,15 @@ def exam_codes(exams: DataFrame) -> list[str]:
 def exam_pivot(exams: DataFrame, codes: list[str] | None = None) -> DataFrame:
     """Columns ``GEO_{code}_{measure}``: highest marks and first exemption per enrolment and exam code.
 
-    Rows are reduced to one per enrolment and code where they are read, and only those are shuffled and turned.
+    Rows are turned and reduced to one per enrolment where they are read, and only those are shuffled.
     """
     codes = exam_codes(exams) if codes is None else codes
     source, short = EXAM_EXEMPTION
-    keyed = exams.where(all_filled(ENROLMENT_KEY)).withColumn(
-        "_code", F.concat(F.lit("GEO_"), F.coalesce(EXAM_CODE, F.lit("null")))
-    )
-    earliest = F.min(F.struct(VOLGORDE, source)).getField(source)
-    reduced = keyed.groupBy(*ENROLMENT_KEY, "_code").agg(*[F.max(mark).alias(mark) for mark in EXAM_MARKS], earliest.alias(short))
-    return (
-        reduced.groupBy(*ENROLMENT_KEY)
-        .pivot("_code", [f"GEO_{code}" for code in codes])
-        .agg(*[F.max(name).alias(name) for name in (*EXAM_MARKS, short)])
-    )
+    code = F.coalesce(EXAM_CODE, F.lit("null"))
+    measures = []
+    for value in codes:
+        of_code = code == F.lit(value)
+        measures += [F.max(F.when(of_code, F.col(mark))).alias(f"GEO_{value}_{mark}") for mark in EXAM_MARKS]
+        earliest = F.min(F.when(of_code, F.struct(VOLGORDE, source))).getField(source)
+        measures.append(earliest.alias(f"GEO_{value}_{short}"))
+    return _per_enrolment(exams, *measures)
