@@ -6,7 +6,10 @@ summed sizes, so they can differ in so many segments at most and must agree on t
 are few and long and also take the signatures of all their one-deletion subsets, so that it takes two differences to
 break one; ``plan`` chooses by cost. A set whose segments agree with those of any others in too few cases has no partner
 and is gone after one meeting of signatures; of the rest, the rarest signatures that still suffice bring blocks of sets
-together, and every pair of two such blocks is compared exactly.
+together. Pairs of blocks that meet by accident grow faster than the input, so it is sketches of their sets that meet
+first: bitmaps of parities, which differ in no more bits than the sets differ in shingles. Only sets with a partner that
+their sketches allow are brought together, and these are compared exactly. Either meeting is held in as many rounds as
+keep its files below the size of the texts.
 
 Equal sets are one node, known by 64 bits of a hash while signatures meet and by 128 after that. Signatures travel as
 packed arrays, some thousand to a row.
@@ -15,14 +18,14 @@ packed arrays, some thousand to a row.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.llm.common import buckets_for, read, rows_of, stage
@@ -36,6 +39,8 @@ TOGETHER, BYTES_PER_SIGNATURE = 1_200_000, 13
 BLOCK = 512
 #: Shingles that are compared at once; larger blocks are compared piece by piece.
 SHINGLES_TOGETHER = 1_000_000
+#: Words of sketches that are compared at once, and bytes up to which there is one round.
+WORDS_TOGETHER, LEAST_ROUND = 1_000_000, 1 << 26
 #: Cost of an accidental agreement in signatures, and the chance that a shingle is one that many texts have.
 ACCIDENT, COMMON = 1000.0, 0.02
 #: Channel of single shingles for sets with too few segments.
@@ -380,6 +385,64 @@ def similar_pieces(ids: list, sets: list[np.ndarray], split: int) -> list[tuple]
     return links
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """Parities of the shingles by their last bits, in as many bits as the power of two from ``len(own)`` on, at least 64.
+    Halves laid on each other (exclusive or) are the sketch of half as many bits."""
+    bits = max(64, 1 << (len(own) - 1).bit_length())
+    return np.packbits(np.bincount((own & U64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def _folded(sketches: list[bytes], words: int) -> np.ndarray:
+    rows = np.frombuffer(b"".join(sketches), U64).reshape(len(sketches), -1)
+    while rows.shape[1] > words:
+        rows = rows[:, : rows.shape[1] // 2] ^ rows[:, rows.shape[1] // 2 :]
+    return rows
+
+
+def possible(sizes: np.ndarray, sketches: list[bytes], split: int) -> np.ndarray:
+    """Which sets may have a similar one on the other side of ``split``, or anywhere if ``split`` is 0. Similar sets differ
+    in a seventh of their summed sizes at most, so their sketches do, and their sketches' sizes are the same or neighbours."""
+    found = np.zeros(len(sizes), bool)
+    words = np.array([len(x) // 8 for x in sketches])
+    place = np.arange(len(sizes))
+    for own in np.unique(words[: split or len(words)]).tolist():
+        left = np.flatnonzero((words == own) & (place < (split or len(words))))
+        for other in (own // 2, own, own * 2) if split else (own // 2, own):
+            right = np.flatnonzero((words == other) & (place >= split))
+            if not len(right):
+                continue
+            a, b = (_folded([sketches[k] for k in side.tolist()], min(own, other)) for side in (left, right))
+            step = max(1, WORDS_TOGETHER // b.size)
+            for at in range(0, len(left), step):
+                some = left[at : at + step]
+                far = np.bitwise_count(a[at : at + step, None] ^ b[None]).sum(2, dtype=np.int64)
+                near = (7 * far <= sizes[some, None] + sizes[None, right]) & (some[:, None] != right[None])
+                found[some[near.any(1)]] = True
+                found[right[near.any(0)]] = True
+    return found
+
+
+SIFTED = "a long, b long, side int, doc_id long, key long"
+
+
+def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each pair of blocks the sets that may have a partner, each once; rows come sorted by pair and side."""
+    names = [part.split()[0] for part in SIFTED.split(", ")]
+    rows = (row for batch in batches for row in zip(*(batch.column(n) for n in ("a", "b", "side", "own")), strict=True))
+    for pair, blocks in groupby(rows, key=lambda row: (row[0].as_py(), row[1].as_py())):
+        known: dict[tuple, tuple] = {}
+        for _, _, side, block in blocks:
+            for doc_id, key, *rest in zip(*(block.values.field(n).to_pylist() for n in ("doc_id", "key", "n", "sketch")), strict=True):
+                known.setdefault((side.as_py(), doc_id, key), rest)
+        own, (sizes, sketches) = list(known), zip(*known.values(), strict=True)
+        split = sum(side == 0 for side, _, _ in own)
+        stay = possible(np.array(sizes, np.int64), list(sketches), split if split < len(own) else 0)
+        out = [(*pair, *own[k]) for k in np.flatnonzero(stay).tolist()]
+        columns = zip(*out, strict=True) if out else ((),) * len(names)
+        kinds = (pa.int32() if name == "side" else pa.int64() for name in names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each pair of blocks; rows come sorted by pair and side."""
     rows = (row for batch in batches for row in zip(*(batch.column(n) for n in ("a", "b", "side", "doc_id", "shingles")), strict=True))
@@ -395,12 +458,23 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingles(text).tobytes() for (text,) in rows_of(batch, "text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("block"), pa.array(sets, pa.binary())], ["doc_id", "block", "shingles"])
+        sets = [shingles(text) for (text,) in rows_of(batch, "text")]
+        made = [[len(x) for x in sets], [sketch(x) for x in sets], [x.tobytes() for x in sets]]
+        columns = [*(batch.column(n) for n in ("doc_id", "key", "block")), *(pa.array(x, k) for x, k in zip(made, (pa.int64(), pa.binary(), pa.binary()), strict=True))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "block", "n", "sketch", "shingles"])
 
 
-def similar_links(keyed: DataFrame, surveyed: DataFrame) -> DataFrame:
-    """Links (a, b: doc ids) that span the groups of similar sets. Nodes stand for the smallest document that has them."""
+def _in_rounds(rows: DataFrame, size: Column, most: int, name: str, meet: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``meet`` of the pairs (a, b) in ``rows``, whose meeting takes ``size`` bytes a row, in rounds of ``most`` bytes."""
+    rounds = buckets_for(rows.agg(F.sum(size)).first()[0] or 0, most)
+    own = F.pmod(F.xxhash64("a", "b"), F.lit(rounds))
+    held = [stage(meet(rows.where(own == k)), name) for k in range(rounds)]
+    return reduce(DataFrame.union, held)
+
+
+def similar_links(keyed: DataFrame, surveyed: DataFrame, most: int) -> DataFrame:
+    """Links (a, b: doc ids) that span the groups of similar sets. Nodes stand for the smallest document that has them.
+    Sets and sketches that meet take about ``most`` bytes at once."""
     own, nodes = surveyed.where("kind = 0 and doc_id is not null and n > 0"), surveyed.where("kind = 1")
     # Nodes of one home are a block; where they are many, several.
     full = nodes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("spread")).where("spread > 1")
@@ -409,7 +483,8 @@ def similar_links(keyed: DataFrame, surveyed: DataFrame) -> DataFrame:
     first = own.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "key")).alias("first"))
     wanted = nodes.select("h1", "block").join(first, "h1").select(F.col("first.doc_id").alias("own_id"), F.col("first.key").alias("own_key"), "block").distinct()
     members = keyed.join(wanted.hint("shuffle_hash"), F.expr("doc_id = own_id and key = own_key"))
-    members = stage(members.select("doc_id", "block", "text").mapInArrow(_sets, "doc_id long, block long, shingles binary"), "sets")
+    made = "doc_id long, key long, block long, n long, sketch binary, shingles binary"
+    members = stage(members.select("doc_id", "key", "block", "text").mapInArrow(_sets, made), "sets")
 
     asked = nodes.select("block", F.explode("probes").alias("sig"), F.lit(True).alias("probe"))
     shown = nodes.select("block", F.explode("others").alias("sig"), F.lit(False).alias("probe"))
@@ -419,10 +494,25 @@ def similar_links(keyed: DataFrame, surveyed: DataFrame) -> DataFrame:
     met = x.join(y, F.expr("x.sig = y.sig and x.block < y.block and (x.probe or y.probe)")).select(F.col("x.block").alias("a"), F.col("y.block").alias("b"))
     inside = blocks.where("probe and n > 1").select(F.col("block").alias("a"), F.col("block").alias("b"))
     pairs = stage(met.union(inside).distinct(), "pairs")
-    left = pairs.join(members, pairs.a == members.block).select("a", "b", F.lit(0).alias("side"), "doc_id", "shingles")
-    right = pairs.where("a < b").join(members, pairs.b == members.block).select("a", "b", F.lit(1).alias("side"), "doc_id", "shingles")
-    dealt = left.union(right).repartition("a", "b").sortWithinPartitions("a", "b", "side")
-    return dealt.mapInArrow(_verify, "a long, b long")
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("a", "b").sortWithinPartitions("a", "b", "side")
+
+    def at_block(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("block", F.when(F.col("side") == 0, F.col("a")).otherwise(F.col("b")))
+
+    def sift(rows: DataFrame) -> DataFrame:
+        return dealt(rows.drop("bytes").join(sketches.drop("bytes"), "block").drop("block")).mapInArrow(_sift, SIFTED)
+
+    def verify(rows: DataFrame) -> DataFrame:
+        met = at_block(rows).join(members.select("block", "doc_id", "key", "shingles"), ["block", "doc_id", "key"])
+        return dealt(met.select("a", "b", "side", "doc_id", "shingles")).mapInArrow(_verify, "a long, b long")
+
+    held = F.sum(F.octet_length("sketch") + 48).alias("bytes"), F.collect_list(F.struct("doc_id", "key", "n", "sketch")).alias("own")
+    sketches = stage(members.groupBy("block").agg(*held), "sketches")
+    both = at_block(pairs.withColumn("side", F.lit(0)).union(pairs.where("a < b").withColumn("side", F.lit(1))))
+    sifted = _in_rounds(both.join(sketches.select("block", "bytes"), "block"), F.col("bytes"), most, "sifted", sift)
+    sized = at_block(sifted).join(members.select("block", "doc_id", "key", "n").distinct(), ["block", "doc_id", "key"])
+    return _in_rounds(sized.select(*sifted.columns, "n"), 8 * F.col("n") + 32, most, "links", verify)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -439,7 +529,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet(buckets), PACKED)
     judged = met.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_judge, SURVEYED)
     surveyed = stage(judged, "surveyed")
-    groups = components(similar_links(keyed, surveyed)).withColumnRenamed("id", "first")
+    groups = components(similar_links(keyed, surveyed, max(size, LEAST_ROUND))).withColumnRenamed("id", "first")
     own = surveyed.where("kind = 0").select("doc_id", "n", "h1", "h2")
     first = own.where("doc_id is not null and n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
     least = stage(first.join(groups, "first", "left").select("h1", "h2", F.coalesce("component_id", "first").alias("component_id")), "least")

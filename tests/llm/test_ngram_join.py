@@ -160,3 +160,42 @@ def test_blocks_are_compared_in_pieces(monkeypatch):
         for together in (1, 500, 2000):
             monkeypatch.setattr(ngram_join, "SHINGLES_TOGETHER", together)
             assert groups(ngram_join.similar_pieces(ids, sets, split)) == groups(whole)
+
+
+def test_sketches_keep_similar_sets_and_tell_others_apart():
+    pick = np.random.default_rng(8)
+    for size in (3, 20, 63, 64, 65, 90, 128, 129, 500, 1030, 5000):
+        own = np.unique(pick.integers(0, 2**63, size).astype(np.uint64))
+        most = 2 * len(own) // 7
+        sets, similar_to_own = [own], [True]
+        for gone in range(0, most + 1, max(1, most // 9)):
+            for new in {0, max(0, (most - gone) // 2), most - gone}:
+                other = np.concatenate([pick.permutation(own)[gone:], pick.integers(0, 2**63, new).astype(np.uint64)])
+                common = len(own) - gone
+                sets.append(np.unique(other))
+                similar_to_own.append(100 * common >= 75 * (len(own) + len(sets[-1]) - common))
+        sizes, sketches = np.array([len(s) for s in sets]), [ngram_join.sketch(s) for s in sets]
+        assert max(map(len, sketches)) <= max(8, 5 * size // 16)
+        stay = ngram_join.possible(sizes, sketches, 1)
+        assert stay[0] and stay[similar_to_own].all(), size
+        assert ngram_join.possible(sizes, sketches, 0)[similar_to_own].all()
+    lone = [np.unique(np.concatenate([own[:40], pick.integers(0, 2**63, 300 + n).astype(np.uint64)])) for n in range(200)]
+    assert not ngram_join.possible(np.array([len(s) for s in lone]), [ngram_join.sketch(s) for s in lone], 100).any()
+
+
+def test_sets_without_a_possible_partner_are_not_brought_together(spark, monkeypatch):
+    """Short texts that share one passage meet in signatures; their sets stay where they are. In rounds the links are the same."""
+    pick = random.Random(6)
+    docs = family_docs(11, 25, 5, 90)
+    docs += [(9000 + n, " ".join(["a passage that stands in all of these"] * 2 + [f"w{pick.randrange(10**6)}" for _ in range(pick.randrange(9, 30))])) for n in range(120)]
+    docs += [(1, docs[0][1])] * 3 + [(9500, "one row of this id")] * 40 + [(9500, f"other {n} rows of this id have other texts") for n in range(5)]
+    rounds, brought = ngram_join._in_rounds, {}
+
+    def small(rows, size, most, name, meet):
+        brought.setdefault(name, []).append(rows.count())
+        return rounds(rows, size, 6_000, name, meet)
+
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "_in_rounds", small)
+    compare(spark, docs)
+    assert 0 < brought["links"][0] < len(docs)
