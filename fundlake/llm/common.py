@@ -17,8 +17,6 @@ SETTINGS = {
     # Batches that Python gets are bounded by rows and by bytes: texts can be long.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
-    # Shuffle files go when the action that wrote them ends; what is used again is staged as a table.
-    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 

@@ -75,6 +75,7 @@ class ObtBuilder:
         options: ObtOptions | None = None,
         present: set[str] | None = None,
         store: Store | None = None,
+        store_part: Store | None = None,
     ):
         self.options = options or ObtOptions()
         if present is None:
@@ -83,6 +84,7 @@ class ObtBuilder:
         self.known = set(stacked)
         self.stacked = stacked
         self.store = store or (lambda df, name: df)
+        self.store_part = store_part or self.store
         self._repaired: dict[str, DataFrame] = {}
 
     @property
@@ -99,9 +101,17 @@ class ObtBuilder:
         if name not in self._repaired:
             keyed = with_person_id(self.tables[name])
             fixed = fk_repair(keyed, self.tables.get("DIP"), dedup=self.options.dedup_dip)
-            self._repaired[name] = fixed if name == "GEO" else self.store(fixed, f"hersteld-{name}")
+            self._repaired[name] = self.store(fixed, f"hersteld-{name}")
         return self._repaired[name]
 
+    def _exams(self) -> DataFrame:
+        """Exams with their enrolment number. Only those without one are looked up: maxima and minima do not change when a
+        diploma that occurs twice repeats a row."""
+        keyed = with_person_id(self.tables["GEO"])
+        number = F.nullif("Inschrijvingvolgnummer", F.lit(""))
+        blank = fk_repair(keyed.where(number.isNull()), self.tables.get("DIP"), dedup=self.options.dedup_dip)
+        return keyed.where(number.isNotNull()).unionByName(blank)
+
     def obt_inschrijvingen(self) -> DataFrame:
         """One row per enrolment period with everything known about its person, enrolment and delivery.
 
@@ -137,7 +147,8 @@ class ObtBuilder:
         return joined, added
 
     def _enrolment_parts(self) -> list[DataFrame]:
-        """Tables of one row per enrolment; those without rows are skipped and add no columns."""
+        """Tables of one row per enrolment; those without rows are skipped and add no columns. What is made of results and
+        placements is stored by itself, so that the shuffles of one are gone before the next."""
         enrolments = with_person_id(self.required("ISG"))
         dates = [c for c in ENROLMENT_DATES if c in enrolments.columns]
         parts = [first_per_key(enrolments.select(*ENROLMENT_KEY, *dates, VOLGORDE), ENROLMENT_KEY)]
@@ -148,13 +159,13 @@ class ObtBuilder:
             diplomas = _prefixed(with_person_id(self.tables["DIP"]), "DIP_", NOT_IN_DIPLOMA)
             parts.append(first_per_key(diplomas, ENROLMENT_KEY))
         if "GEO" in self.tables:
-            parts.append(exam_pivot(self.repaired("GEO"), exam_codes(self.tables["GEO"])))
+            parts.append(self.store_part(exam_pivot(self._exams(), exam_codes(self.tables["GEO"])), "deel-GEO"))
         if "BPV" in self.tables:
-            parts.append(placement_totals(with_person_id(self.tables["BPV"])))
+            parts.append(self.store_part(placement_totals(with_person_id(self.tables["BPV"])), "deel-BPV"))
         if "KZD" in self.tables:
-            parts.append(elective_totals(self.repaired("KZD"), self.options.passed))
+            parts.append(self.store_part(elective_totals(self.repaired("KZD"), self.options.passed), "deel-KZD"))
         if "AMO" in self.tables:
-            parts.append(module_totals(self.repaired("AMO")))
+            parts.append(self.store_part(module_totals(self.repaired("AMO")), "deel-AMO"))
         return parts
 
     def detail_bpv(self) -> DataFrame:

@@ -23,19 +23,40 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Shuffle files go when the action that wrote them ends; what is used again is written as a table.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # Projections over many fields compile to methods the JVM leaves uncompiled above this size; Spark then
     # generates per-operator code in small methods instead, which runs about twice as fast here.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_asked: set[str] = set()
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings every job of this package relies on."""
+    """Apply the settings every job of this package relies on, and drop what ``begin_with`` asked for an earlier one."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if spark.conf.get(FIRST_PARTITIONS, None) in _asked:
+        spark.conf.unset(FIRST_PARTITIONS)
     return spark
 
 
+def first_partitions(spark: SparkSession, rows: int, rows_per_task: int) -> str:
+    """``FIRST_PARTITIONS`` for tables of ``rows``: shuffles begin with so many partitions that no task has to sort more than
+    fits its memory, or else it spills; adaptive execution joins small ones. At least the session's shuffle partitions."""
+    return str(max(-(-rows // rows_per_task), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def begin_with(spark: SparkSession, partitions: str) -> None:
+    """Shuffles begin with so many partitions until the next query is configured: a result is computed when it is asked for."""
+    if spark.conf.get(FIRST_PARTITIONS, None) in {None, *_asked}:
+        _asked.add(partitions)
+        spark.conf.set(FIRST_PARTITIONS, partitions)
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: str) -> Iterator[None]:
     """Session settings, dots written as two underscores, for the actions inside."""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.columns import OUDER_PREFIX, VOLGORDE
-from fundlake.session import work_table
+from fundlake.session import begin_with, first_partitions, work_table
 
 # Full position of a line item: the key alone is not unique.
 LINE_POSITION = (
@@ -61,7 +61,9 @@ class Source:
     @cached_property
     def rows(self) -> int:
         """Line items, which the file tells without reading them. Orders are dealt alike, so the join finds both in place."""
-        return table(self.spark, self.sf, "lineitem").count()
+        rows = table(self.spark, self.sf, "lineitem").count()
+        begin_with(self.spark, first_partitions(self.spark, rows, ROWS_PER_TASK))
+        return rows
 
     @cached_property
     def orders(self) -> DataFrame:
