@@ -15,7 +15,7 @@ from fundlake.plans.normalise import read_family
 from fundlake.plans.obt import ObtOptions, build_obt
 from fundlake.plans.reports import obt_summary
 from fundlake.schemas import SCHEMAS
-from fundlake.session import work_area, work_table
+from fundlake.session import FIRST_PARTITIONS, first_partitions, settings, work_area, work_table
 from fundlake.sources.discovery import delivery_label, discover, family_glob, shared_labels
 from fundlake.sources.exports import export_counted, table_path, write_table
 from fundlake.sources.files import exists, loadable, remove
@@ -34,6 +34,8 @@ from fundlake.sources.store import (
 )
 
 QUARANTINE = "quarantaine"
+#: Rows of the largest table of a store for each partition that joins begin with.
+ROWS_PER_TASK = 200_000
 
 
 @dataclass
@@ -145,12 +147,16 @@ def run_landing_zone(
     """Bring the stores up to date with ``raw``, then stack them, build the result tables and write those.
 
     Only new and changed files are read, see ``normalise_landing``. The result tables are made from the stores as a whole.
+    What was staged to type the deliveries is removed before.
     """
     with work_area(spark):
         written, quarantine = normalise_landing(spark, raw, prepared, everything)
+    with work_area(spark):
         stacked = stack_store(spark, prepared, harmonised=bool(options and options.harmonised))
-        obt = build_obt(stacked, options, set(stacked), store=work_table)
-        counts = export_counted(obt, output)
+        rows = max((df.count() for df in stacked.values()), default=0)
+        with settings(spark, **{FIRST_PARTITIONS.replace(".", "__"): first_partitions(spark, rows, ROWS_PER_TASK)}):
+            obt = build_obt(stacked, options, set(stacked), store=work_table)
+            counts = export_counted(obt, output)
     return LandingResult(written, counts, quarantine, obt_summary(spark, output, counts))
 
 
