@@ -9,19 +9,20 @@ from fundlake.columns import VOLGORDE
 from fundlake.plans.obt import ObtBuilder, ObtOptions
 from fundlake.session import FIRST_PARTITIONS, configure, first_partitions, work_dir, work_table
 from workloads import tables as T
-from workloads.queries import landing_obt, obt_full
+from workloads.queries import landing_obt, landing_twice, obt_full
 
 FOLDER = "/root/testdata/sf0.001"
 given = pytest.mark.skipif(not Path(FOLDER).exists(), reason="given tables are not here")
 
 
 @given
-def test_landing_leaves_its_results_alone(spark):
+@pytest.mark.parametrize("query", [landing_obt, landing_twice])
+def test_landing_leaves_its_results_alone(spark, query):
     def files():
         return {p for p in Path(work_dir(spark).removeprefix("file:")).rglob("*") if p.is_file() and not p.name.startswith((".", "_"))}
 
     before = files()
-    assert landing_obt(spark, FOLDER).count() > 0
+    assert query(spark, FOLDER).count() > 0
     left = files() - before
     assert left and all("/output/" in str(p) for p in left)
 
